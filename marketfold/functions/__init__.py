@@ -1,7 +1,7 @@
 """Column expressions shared by the operators: exact sums, guarded ratios and rounding."""
 
 from marketfold.functions.amounts import amount_mean, amount_merge, amount_sum, amount_total
-from marketfold.functions.ratios import percent, ratio, round_half_up
+from marketfold.functions.ratios import percent, ratio, round_each
 
 __all__ = [
     "amount_mean",
@@ -10,5 +10,5 @@ __all__ = [
     "amount_total",
     "percent",
     "ratio",
-    "round_half_up",
+    "round_each",
 ]

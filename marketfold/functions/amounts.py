@@ -1,66 +1,69 @@
 """Sums of doubles that do not depend on the order in which rows arrive.
 
-A plain ``sum`` over doubles gives another last digit whenever partitions are read, merged or retried
+A plain ``SUM`` over doubles gives another last digit whenever partitions are read, merged or retried
 in another order, and at billions of rows the drift reaches the cents. A decimal sum is exact but
 converts every value through its printed form, about ten times the cost of the double sum. Here each
 value is split into two BIGINT lanes, whole units and millionths, which Spark adds exactly inside
 generated code. The result is a small struct that can be aggregated again, so totals of totals stay
 exact too.
+
+Lane ``rest`` takes the values without useful digits after the point: NaN, infinity and magnitudes
+from 10**12. The BIGINT lanes have room for nine million million rows per group, and an overflow
+would raise an error rather than wrap.
+
+All functions take the name of a column.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A BIGINT holds nine million million full micro lanes, and as many million-unit whole lanes: room for
-# the rows of one group at any size a cluster reads. An overflow would raise an error, not wrap.
-MICROS = 1_000_000
 
-# Larger values (and NaN and infinity) have no useful digits after the point; they go through the
-# plain double lane ``rest`` instead.
-LARGEST_EXACT = 1e12
+def amount_sum(column: str, over: str | None = None) -> Column:
+    """Exact partial sum of ``column`` as struct ``(whole, micro, rest, n)``; nulls are skipped.
 
-
-def amount_sum(value: Column, window: WindowSpec | None = None) -> Column:
-    """Exact partial sum of ``value`` as struct ``(whole, micro, rest, n)``; nulls are skipped.
-
-    An aggregate expression, or a window expression when ``window`` is given. Values count to six
+    An aggregate, or a window expression if ``over`` gives a window in SQL. Values count to six
     decimals. Read it with :func:`amount_total` and :func:`amount_mean`.
     """
-    amount = value.cast("double")
-    whole = F.floor(amount)
-    exact = F.abs(amount) < LARGEST_EXACT
+    amount = f"CAST(`{column}` AS DOUBLE)"
+    exact = f"ABS({amount}) < 1e12D"
+    micro = f"FLOOR(({amount} - FLOOR({amount})) * 1e6D + 0.5D)"
     lanes = {
-        "whole": F.sum(F.when(exact, whole)),
-        "micro": F.sum(F.when(exact, F.floor((amount - whole) * MICROS + 0.5))),
-        "rest": F.sum(F.when(~exact, amount)),
-        "n": F.count(amount),
+        "whole": f"SUM(CASE WHEN {exact} THEN FLOOR({amount}) END)",
+        "micro": f"SUM(CASE WHEN {exact} THEN {micro} END)",
+        "rest": f"SUM(CASE WHEN NOT {exact} THEN {amount} END)",
+        "n": f"COUNT({amount})",
     }
-    if window is not None:
-        lanes = {name: lane.over(window) for name, lane in lanes.items()}
-    return F.struct(*[lane.alias(name) for name, lane in lanes.items()])
+    window = f" OVER ({over})" if over else ""
+    return _struct({name: lane + window for name, lane in lanes.items()})
 
 
-def amount_merge(part: Column, times: Column | None = None) -> Column:
-    """Aggregate partial sums into one; ``times`` counts each of them that often."""
-    weight = F.lit(1) if times is None else times
-    return F.struct(
-        *[F.sum(part[lane] * weight).alias(lane) for lane in ("whole", "micro", "rest", "n")]
+def amount_merge(column: str, times: str = "1") -> Column:
+    """Aggregate partial sums into one, counting each as often as the SQL value ``times`` says."""
+    return _struct(
+        {lane: f"SUM(`{column}`.{lane} * {times})" for lane in ("whole", "micro", "rest", "n")}
     )
 
 
-def amount_total(part: Column) -> Column:
+def amount_total(column: str) -> Column:
     """The sum as a double; NULL if no value was present."""
-    fixed = part["whole"].cast("decimal(20,0)") + part["micro"].cast("decimal(20,0)") * F.lit(
-        Decimal(1) / MICROS
-    )
-    total = F.coalesce(fixed.cast("double"), F.lit(0.0)) + F.coalesce(part["rest"], F.lit(0.0))
-    return F.when(part["n"] > 0, total)
+    return F.expr(_total(column))
 
 
-def amount_mean(part: Column) -> Column:
+def amount_mean(column: str) -> Column:
     """The average of the values present; NULL if there are none."""
-    return F.try_divide(amount_total(part), part["n"])
+    return F.expr(f"TRY_DIVIDE({_total(column)}, `{column}`.n)")
+
+
+def _total(column: str) -> str:
+    whole, micro = (f"CAST(`{column}`.{lane} AS DECIMAL(20, 0))" for lane in ("whole", "micro"))
+    fixed = f"CAST({whole} + {micro} * 0.000001BD AS DOUBLE)"
+    return (
+        f"CASE WHEN `{column}`.n > 0 "
+        f"THEN COALESCE({fixed}, 0D) + COALESCE(`{column}`.rest, 0D) END"
+    )
+
+
+def _struct(fields: dict[str, str]) -> Column:
+    return F.expr(f"NAMED_STRUCT({', '.join(f'{name!r}, {sql}' for name, sql in fields.items())})")

@@ -16,7 +16,6 @@ from marketfold.functions import (
     amount_total,
     percent,
     ratio,
-    round_half_up,
 )
 from marketfold.operators.ranking import add_dense_rank
 from marketfold.operators.staging import stage
@@ -45,15 +44,14 @@ def revenue_by_country(customers: DataFrame, transactions: DataFrame) -> DataFra
     Customers without transactions count; a country where nobody bought has NULL revenue.
     Transactions of unknown customers are left out.
     """
-    revenue = F.col("revenue")
     return (
         _markets(customers, transactions)
         .select(
             "country",
             F.col("distinct_customers").alias("total_customers"),
             F.col("transactions").alias("total_transactions"),
-            round_half_up(amount_total(revenue), 2).alias("total_revenue"),
-            round_half_up(amount_mean(revenue), 2).alias("avg_transaction_value"),
+            F.round(amount_total("revenue"), 2).alias("total_revenue"),
+            F.round(amount_mean("revenue"), 2).alias("avg_transaction_value"),
             _revenue_per_customer(),
         )
         .orderBy(F.desc("total_revenue"), "country")
@@ -73,7 +71,7 @@ def customer_360(customers: DataFrame, transactions: DataFrame) -> DataFrame:
             F.col("customer_rows").alias("total_customers"),
             "female_customers",
             percent(F.col("female_customers"), F.col("customer_rows"), 1).alias("female_pct"),
-            round_half_up(amount_total(F.col("revenue")), 2).alias("total_revenue"),
+            F.round(amount_total("revenue"), 2).alias("total_revenue"),
             _revenue_per_customer(),
         )
     )
@@ -87,7 +85,7 @@ def product_revenue(transactions: DataFrame) -> DataFrame:
     Share and rank compare rounded revenue.
     """
     products = stage(_sales_report(transactions, "product"))
-    grand_total = products.agg(amount_total(amount_sum(F.col("total_revenue")))).scalar()
+    grand_total = _one_total(products.agg(amount_sum("total_revenue").alias("revenue")))
     share = percent(F.col("total_revenue"), grand_total, 2)
     shared = products.withColumn("revenue_share_pct", share)
     ranked = add_dense_rank(shared, "revenue_rank", by="total_revenue")
@@ -99,16 +97,16 @@ def payment_breakdown(transactions: DataFrame) -> DataFrame:
     methods = stage(
         transactions.groupBy("paymentMethod").agg(
             F.count("*").alias("total_transactions"),
-            amount_sum(F.col("totalPrice")).alias("revenue"),
+            amount_sum("totalPrice").alias("revenue"),
         )
     )
-    revenue = amount_total(F.col("revenue"))
-    grand_total = methods.agg(amount_total(amount_merge(F.col("revenue")))).scalar()
+    revenue = amount_total("revenue")
+    grand_total = _one_total(methods.agg(amount_merge("revenue").alias("revenue")))
     return methods.select(
         "paymentMethod",
         "total_transactions",
-        round_half_up(revenue, 2).alias("total_revenue"),
-        round_half_up(amount_mean(F.col("revenue")), 2).alias("avg_transaction_value"),
+        F.round(revenue, 2).alias("total_revenue"),
+        F.round(amount_mean("revenue"), 2).alias("avg_transaction_value"),
         percent(revenue, grand_total, 2).alias("revenue_share_pct"),
     ).orderBy(F.desc("total_revenue"), "paymentMethod")
 
@@ -124,6 +122,11 @@ def transaction_summary(transactions: DataFrame) -> DataFrame:
     return ranked.drop("exact_revenue").orderBy("product", name, "paymentMethod")
 
 
+def _one_total(totals: DataFrame) -> Column:
+    """The single row's total as a scalar subquery, so that no row has to be moved to compare it."""
+    return totals.select(amount_total("revenue")).scalar()
+
+
 def _gender_is(gender: str) -> Column:
     return F.lower("gender") == gender
 
@@ -141,14 +144,13 @@ def _markets(customers: DataFrame, transactions: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count("transaction_id").alias("transactions"),
-            amount_sum(F.col("totalPrice")).alias("revenue"),
+            amount_sum("totalPrice").alias("revenue"),
         )
     )
     residents = customers.groupBy("customer_id", "country").agg(
         F.count("*").alias("customer_rows"),
         F.count_if(_gender_is("female")).alias("female_customers"),
     )
-    repeats = F.col("customer_rows")
     return (
         residents.join(spending, "customer_id", "left")
         .groupBy("country")
@@ -156,14 +158,14 @@ def _markets(customers: DataFrame, transactions: DataFrame) -> DataFrame:
             F.sum("customer_rows").alias("customer_rows"),
             F.count("customer_id").alias("distinct_customers"),
             F.sum("female_customers").alias("female_customers"),
-            F.coalesce(F.sum(F.col("transactions") * repeats), F.lit(0)).alias("transactions"),
-            amount_merge(F.col("revenue"), times=repeats).alias("revenue"),
+            F.coalesce(F.sum(F.col("transactions") * F.col("customer_rows")), F.lit(0)).alias("transactions"),
+            amount_merge("revenue", times="customer_rows").alias("revenue"),
         )
     )
 
 
 def _revenue_per_customer() -> Column:
-    spent = amount_total(F.col("revenue"))
+    spent = amount_total("revenue")
     return ratio(spent, F.col("distinct_customers"), 2).alias("revenue_per_customer")
 
 
@@ -171,20 +173,19 @@ def _sales_report(
     transactions: DataFrame, *keys: str, keep: list[str] | tuple[str, ...] = ()
 ) -> DataFrame:
     """Counts, quantity, revenue and averages per ``keys``; a unit price needs a quantity."""
-    unit_price = F.try_divide(F.col("totalPrice").cast("double"), F.col("quantity").cast("double"))
-    sums = transactions.groupBy(*keys).agg(
+    unit_price = F.expr("TRY_DIVIDE(CAST(totalPrice AS DOUBLE), CAST(quantity AS DOUBLE))")
+    sums = transactions.withColumn("unit_price", unit_price).groupBy(*keys).agg(
         F.count("*").alias("total_transactions"),
         F.sum("quantity").alias("total_quantity"),
-        amount_sum(F.col("totalPrice")).alias("revenue"),
-        amount_sum(unit_price).alias("unit_prices"),
+        amount_sum("totalPrice").alias("revenue"),
+        amount_sum("unit_price").alias("unit_prices"),
     )
-    revenue = F.col("revenue")
-    return sums.withColumn("exact_revenue", amount_total(revenue)).select(
+    return sums.withColumn("exact_revenue", amount_total("revenue")).select(
         *keys,
         "total_transactions",
         "total_quantity",
-        round_half_up(F.col("exact_revenue"), 2).alias("total_revenue"),
-        round_half_up(amount_mean(revenue), 2).alias("avg_transaction_value"),
-        round_half_up(amount_mean(F.col("unit_prices")), 2).alias("avg_price_per_unit"),
+        F.round(F.col("exact_revenue"), 2).alias("total_revenue"),
+        F.round(amount_mean("revenue"), 2).alias("avg_transaction_value"),
+        F.round(amount_mean("unit_prices"), 2).alias("avg_price_per_unit"),
         *keep,
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from marketfold.functions import (
@@ -19,7 +19,7 @@ from marketfold.functions import (
     amount_total,
     percent,
     ratio,
-    round_half_up,
+    round_each,
 )
 
 # The bounds of a plausible trip, all exclusive, in miles and dollars.
@@ -66,22 +66,27 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
     The duration counts whole seconds on both ends. The speed uses the unrounded duration and is NULL
     if there is none. The tip percentage is 0 without a positive fare, NULL without a known tip.
     """
-    pickup = F.col("tpep_pickup_datetime")
-    minutes = (F.unix_timestamp("tpep_dropoff_datetime") - F.unix_timestamp(pickup)) / 60.0
-    date = F.to_date(pickup)
-    speed = round_half_up(F.try_divide(F.col("trip_distance"), minutes / 60.0), 2)
-    tip = round_half_up(F.try_divide(F.col("tip_amount"), F.col("fare_amount")) * 100, 2)
-    weekday = F.element_at(F.array(*[F.lit(day) for day in WEEKDAYS]), F.weekday(date) + 1)
-    return df.withColumns(
+    # The helper columns are used several times each, so they are computed in a step of their own.
+    timed = df.withColumns(
         {
-            "trip_duration_minutes": round_half_up(minutes, 2),
-            "speed_mph": F.when(minutes > 0, speed),
-            "tip_pct": F.when(F.col("fare_amount") > 0, tip).otherwise(F.lit(0.0)),
-            "pickup_date": date,
-            "pickup_hour": F.hour(pickup),
-            "day_of_week": weekday,
+            "_minutes": F.expr(
+                "(unix_timestamp(tpep_dropoff_datetime) - unix_timestamp(tpep_pickup_datetime))"
+                " / 60D"
+            ),
+            "_tip": F.expr("TRY_DIVIDE(tip_amount, fare_amount) * 100D"),
         }
-    )
+    ).withColumn("_mph", F.expr("TRY_DIVIDE(trip_distance, _minutes / 60D)"))
+    weekdays = F.array(*[F.lit(day) for day in WEEKDAYS])
+    return timed.withColumns(
+        {
+            "trip_duration_minutes": round_each("_minutes", 2),
+            "speed_mph": F.when(F.col("_minutes") > 0, round_each("_mph", 2)),
+            "tip_pct": F.when(F.col("fare_amount") > 0, round_each("_tip", 2)).otherwise(0.0),
+            "pickup_date": F.to_date("tpep_pickup_datetime"),
+            "pickup_hour": F.hour("tpep_pickup_datetime"),
+            "day_of_week": F.element_at(weekdays, F.expr("WEEKDAY(tpep_pickup_datetime) + 1")),
+        }
+    ).drop("_minutes", "_tip", "_mph")
 
 
 def compute_hourly_revenue(df: DataFrame) -> DataFrame:
@@ -108,13 +113,13 @@ def add_rolling_revenue(df: DataFrame) -> DataFrame:
     dates, so a gap never lets an older day in. One zip has at most one row per day, which bounds
     what a task has to order.
     """
-    window = (
-        Window.partitionBy("pickup_zip")
-        .orderBy(F.unix_date("pickup_date"))
-        .rangeBetween(1 - ROLLING_DAYS, Window.currentRow)
+    last_days = f"""PARTITION BY pickup_zip ORDER BY UNIX_DATE(pickup_date)
+        RANGE BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW"""
+    return (
+        df.withColumn("_week", amount_sum("total_revenue", over=last_days))
+        .withColumn("rolling_7d_avg_revenue", F.round(amount_mean("_week"), 2))
+        .drop("_week")
     )
-    week = amount_mean(amount_sum(F.col("total_revenue"), window))
-    return df.withColumn("rolling_7d_avg_revenue", round_half_up(week, 2))
 
 
 def retention_report(df: DataFrame) -> DataFrame:
@@ -136,7 +141,7 @@ def tally(
     """Count trips and sum ``measures`` per group; ``extra`` names further aggregates."""
     return groups.agg(
         F.count("*").alias("trips"),
-        *[amount_sum(F.col(name)).alias(name) for name in measures],
+        *[amount_sum(name).alias(name) for name in measures],
         *[column.alias(name) for name, column in extra.items()],
     )
 
@@ -145,13 +150,13 @@ def add_up(groups: GroupedData, measures: Sequence[str] = MEASURES) -> DataFrame
     """Combine tallies into coarser groups."""
     return groups.agg(
         F.sum("trips").alias("trips"),
-        *[amount_merge(F.col(name)).alias(name) for name in measures],
+        *[amount_merge(name).alias(name) for name in measures],
     )
 
 
 def hourly_report(tallies: DataFrame) -> DataFrame:
     """The hourly table from tallies per ``pickup_hour``."""
-    per_trip = ratio(amount_total(F.col("total_amount")), F.col("trips"), 2)
+    per_trip = ratio(amount_total("total_amount"), F.col("trips"), 2)
     return tallies.select(
         "pickup_hour", *_revenue_columns(), per_trip.alias("revenue_per_trip")
     ).orderBy("pickup_hour")
@@ -159,7 +164,7 @@ def hourly_report(tallies: DataFrame) -> DataFrame:
 
 def zone_report(tallies: DataFrame) -> DataFrame:
     """The zone table from tallies per ``pickup_zip``; a zone without revenue has no trip ratio."""
-    per_dollar = ratio(F.col("trips"), amount_total(F.col("total_amount")), 4)
+    per_dollar = ratio(F.col("trips"), amount_total("total_amount"), 4)
     return tallies.select(
         "pickup_zip", *_revenue_columns(), per_dollar.alias("trips_per_revenue_dollar")
     ).orderBy(F.desc("total_revenue"), "pickup_zip")
@@ -173,7 +178,7 @@ def daily_report(tallies: DataFrame) -> DataFrame:
 def _volume_columns() -> list[Column]:
     return [
         F.col("trips").alias("total_trips"),
-        round_half_up(amount_total(F.col("total_amount")), 2).alias("total_revenue"),
+        F.round(amount_total("total_amount"), 2).alias("total_revenue"),
         _average("fare_amount", 2).alias("avg_fare"),
     ]
 
@@ -188,4 +193,4 @@ def _revenue_columns() -> list[Column]:
 
 
 def _average(measure: str, places: int) -> Column:
-    return round_half_up(amount_mean(F.col(measure)), places)
+    return F.round(amount_mean(measure), places)
