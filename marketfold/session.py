@@ -14,6 +14,24 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Input per shuffle partition when sizing a large job. Aggregation on the map side leaves a fraction
+# of it to shuffle, and adaptive execution merges partitions that turn out small.
+INPUT_PER_SHUFFLE_PARTITION = 4 * 1024**3
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Split and shuffle sizes for a job that reads about ``input_bytes``.
+
+    At 100 TB this gives some 200,000 scan tasks and 25,000 shuffle partitions; small jobs keep
+    Spark's usual 200.
+    """
+    partitions = max(200, input_bytes // INPUT_PER_SHUFFLE_PARTITION)
+    return {
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    }
+
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with :data:`SETTINGS`; on a cluster leave ``master`` to spark-submit."""

@@ -10,6 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The columns read from each table. Declaring them spares a look into the files before every query.
+COLUMNS = {
+    "customer": "c_custkey LONG, c_nationkey INT, c_mktsegment STRING",
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE",
+    "lineitem": """l_orderkey LONG, l_partkey LONG, l_quantity DOUBLE, l_extendedprice DOUBLE,
+        l_returnflag STRING""",
+    "nation": "n_nationkey INT, n_name STRING",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderpriority STRING",
+    "part": "p_partkey LONG, p_type STRING",
+    "supplier": "s_suppkey LONG, s_nationkey INT, s_acctbal DOUBLE",
+}
+
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips from ``events``: some end before they start, some lack a zip or a tip."""
@@ -89,4 +101,4 @@ def _countries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
