@@ -6,9 +6,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# What the results rely on (UTC) and what lets Spark re-plan at run time.
+# What the results rely on (UTC, and errors rather than wrapped numbers) and what lets Spark re-plan
+# at run time.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
