@@ -136,8 +136,8 @@ def _markets(customers: DataFrame, transactions: DataFrame) -> DataFrame:
 
     Both sides shrink to one row per customer before they meet. A customer with a third of all
     transactions, or a third of all customer rows, then reaches the join as a single row, and the
-    distinct count needs no further pass: the rows are distinct by then. Repeated customer rows still
-    count their revenue each time, through the row count they carry.
+    distinct count needs no further pass: the rows are distinct by then. Repeated customer rows
+    still count their revenue each time, through the row count they carry.
     """
     spending = (
         transactions.filter(F.col("customer_id").isNotNull())
@@ -158,7 +158,7 @@ def _markets(customers: DataFrame, transactions: DataFrame) -> DataFrame:
             F.sum("customer_rows").alias("customer_rows"),
             F.count("customer_id").alias("distinct_customers"),
             F.sum("female_customers").alias("female_customers"),
-            F.coalesce(F.sum(F.col("transactions") * F.col("customer_rows")), F.lit(0)).alias("transactions"),
+            F.expr("COALESCE(SUM(transactions * customer_rows), 0)").alias("transactions"),
             amount_merge("revenue", times="customer_rows").alias("revenue"),
         )
     )

@@ -123,7 +123,7 @@ def add_rolling_revenue(df: DataFrame) -> DataFrame:
 
 
 def retention_report(df: DataFrame) -> DataFrame:
-    """One row: raw trips, plausible trips and the percentage kept (NULL for no trips), in one scan."""
+    """One row from one scan: raw trips, plausible trips and the percentage kept, NULL for no trips."""
     counts = df.agg(
         F.count("*").alias("raw_trips"), F.count_if(is_plausible_trip()).alias("clean_trips")
     )

@@ -1 +1 @@
-"""Intentionally empty: every dataset here is refreshed in batch, so there is no streaming operator."""
+"""Intentionally empty: every dataset here is refreshed in batch, so nothing streams."""
