@@ -3,8 +3,11 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from helpers import plan_of
 from marketfold import session
+from marketfold.operators.staging import stage
 
 
 def test_settings_follow_the_input_size():
@@ -17,6 +20,17 @@ def test_checkpoint_folder_comes_from_the_session(spark, scratch):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
+def test_staged_rows_lie_in_that_folder(spark, scratch):
+    def files():
+        return set((scratch / "checkpoints").rglob("part-*"))
+
+    before = files()
+    staged = stage(spark.range(5).groupBy().agg(F.sum("id").alias("total")))
+    assert files() > before
+    assert staged.first()["total"] == 10
+    assert "Aggregate" not in plan_of(staged)
+
+
 def fake_session(master, configured, current=None):
     chosen = []
     context = SimpleNamespace(
