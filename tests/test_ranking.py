@@ -4,7 +4,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from helpers import plan_of
 from marketfold.operators.ranking import add_dense_rank
 
 NAN, INF = float("nan"), float("inf")
@@ -64,3 +66,27 @@ def test_integer_values(spark):
     for limit in (0, 100):
         ranked = add_dense_rank(df, "place", by="n", one_task_rows=limit)
         assert {r["key"]: r["place"] for r in ranked.collect()} == {1: 2, 2: 1, 3: 2, 4: 3}
+
+
+def test_a_value_shared_by_a_third_of_the_rows_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(300_000).selectExpr(
+            "uuid() AS id", "IF(id % 3 = 0, 0.5D, CAST(id AS DOUBLE)) AS value"
+        )
+        ranked = add_dense_rank(rows, "place", by="value", one_task_rows=0)
+        total = ranked.agg(F.count("id"), F.max("place"), F.max(F.length("id")))
+        assert [tuple(row) for row in total.collect()] == [(300_000, 200_001, 36)]
+        assert "skewed" in plan_of(total)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
