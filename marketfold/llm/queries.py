@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bpe
+from marketfold.llm import bitplane, bpe, counts
 from marketfold.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +26,30 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    written = bitplane.write_ids(documents(spark, folder), path, end_id=2)
+    return bitplane.read_ids(spark, written).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+# Documents with more tokens do not fit into one training sequence.
+TOKEN_LIMIT = 2048
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counted = counts.count_tokens(documents(spark, folder), path)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_bpe_round_trip": op1_bpe_round_trip}
+    return {
+        "op1_bpe_round_trip": op1_bpe_round_trip,
+        "op5_bit_planes": op5_bit_planes,
+        "op8_token_counts": op8_token_counts,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
