@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, counts
+from marketfold.llm import bitplane, bpe, counts, minhash
 from marketfold.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,11 +44,16 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder), minhash.Likeness(words=4))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
         "op5_bit_planes": op5_bit_planes,
         "op8_token_counts": op8_token_counts,
+        "op9_minhash": op9_minhash,
     }
 
 
