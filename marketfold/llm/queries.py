@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, counts, minhash
-from marketfold.llm.common import documents
+from marketfold.llm import bitplane, bpe, counts, decontaminate, minhash
+from marketfold.llm.common import documents, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,12 +48,26 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder), minhash.Likeness(words=4))
 
 
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = read(spark, folder, "benchmark", "item_id LONG, text STRING")
+    found = decontaminate.contamination(documents(spark, folder), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated("n_words", "n_hit").alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
         "op5_bit_planes": op5_bit_planes,
         "op8_token_counts": op8_token_counts,
         "op9_minhash": op9_minhash,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
