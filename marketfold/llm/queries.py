@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, counts, decontaminate, minhash
+from marketfold.llm import bitplane, bpe, counts, decontaminate, lines, minhash
 from marketfold.llm.common import documents, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,28 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    marked = lines.with_spans(
+        documents(spark, folder), "doc_id", "text", lines.PASSAGE_WORDS, lines.RUN_WORDS
+    )
+    lost = F.col("spans").isNotNull()
+    left = lines.without_lines(F.when(lost, F.col("text")), F.when(lost, F.col("spans")))
+    size = F.aggregate(
+        F.coalesce("spans", F.array().cast("array<struct<first:int,last:int>>")),
+        F.lit(0),
+        lambda n, span: n + span["last"] - span["first"] + 1,
+    )
+    span = F.transform("spans", lambda s: F.concat_ws("-", s["first"], s["last"]))
+    kept = F.coalesce(F.when(lost, left).otherwise(F.col("text")), F.lit(""))
+    return marked.select(
+        "doc_id",
+        F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        size.cast("long").alias("n_removed"),
+        F.coalesce(F.concat_ws(",", span), F.lit("")).alias("removed"),
+        F.sha2(F.encode(kept, "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder), minhash.Likeness(words=4))
 
@@ -65,6 +87,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
         "op5_bit_planes": op5_bit_planes,
+        "op7_line_dedup": op7_line_dedup,
         "op8_token_counts": op8_token_counts,
         "op9_minhash": op9_minhash,
         "op10_decontaminate": op10_decontaminate,
