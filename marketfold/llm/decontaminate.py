@@ -117,6 +117,21 @@ def contamination(
     )
 
 
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; rows without an id stay."""
+    found = contamination(docs, benchmark, window, id_col, text_col, item_col, item_text_col)
+    dropped = found.filter(is_contaminated("n_words", "n_hit")).select(id_col).distinct()
+    return docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def is_contaminated(n_words: str, n_hit: str) -> Column:
     """At least a twentieth of the words stand inside benchmark windows."""
     return (F.col(n_hit) > 0) & (F.col(n_hit) * 20 >= F.col(n_words))
