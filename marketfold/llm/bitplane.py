@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketfold.llm.chunks import chunk_ids, words
+from marketfold.llm.chunks import pieces, special_strings, word_chunk_ids
 from marketfold.llm.common import whole_text
 from marketfold.session import checkpoint_dir
 
@@ -44,8 +44,8 @@ CHUNK = "docs array<struct<id {kind}, n_tokens long>>, part int, chunk int, n_id
 
 def encode_text(text: str, path: str, end: bytes) -> bytes:
     """Ids of a text as little-endian unsigned 32-bit integers, followed by ``end``."""
-    remembered = chunk_ids(path)
-    return b"".join(map(remembered.__getitem__, words(text))) + end
+    remembered = word_chunk_ids(path)
+    return b"".join(map(remembered.__getitem__, pieces(text, special_strings(path)))) + end
 
 
 def pack(ids: np.ndarray, lengths: np.ndarray, block: int = BLOCK_IDS) -> bytes:

@@ -27,7 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.chunks import SPACED, WHITE, chunk_ids, tokenizer
+from marketfold.llm.chunks import (
+    SPACED,
+    WHITE,
+    byte_letters,
+    chunk_ids,
+    special_strings,
+    tokenizer,
+)
 from marketfold.llm.common import whole_text
 
 # Characters of a leaf. Longer texts are spread over several.
@@ -40,6 +47,8 @@ ENDS_WHITE = re.compile(f"[{WHITE}]$")
 
 TEXT, PART, SPECIAL = 0, 1, 2
 
+_specials = functools.cache(special_strings)
+
 
 def encode_documents(
     docs: DataFrame,
@@ -261,22 +270,11 @@ def _join_leaves(table: pa.Table, path: str) -> pa.Table:
     )
 
 
-@functools.cache
-def _specials(path: str) -> re.Pattern | None:
-    """The special strings, longest first; splitting by it keeps them at odd places."""
-    added = [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
-    longest = sorted(added, key=len, reverse=True)
-    return re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
-
-
 @functools.cache
 def _id_bytes(path: str) -> list[bytes]:
     """The bytes of each id. Byte-level tokens are written with one printable character a byte."""
     model = tokenizer(path)
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    byte_of = {chr(b): b for b in plain}
-    hidden = [b for b in range(256) if b not in set(plain)]
-    byte_of |= {chr(0x100 + i): b for i, b in enumerate(hidden)}
+    byte_of = {letter: b for b, letter in byte_letters().items()}
     special = {i: t.content.encode() for i, t in model.get_added_tokens_decoder().items()}
     by_id = {i: token for token, i in model.get_vocab().items()}
     return [

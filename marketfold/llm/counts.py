@@ -13,23 +13,17 @@ from __future__ import annotations
 
 import functools
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.chunks import REMEMBERED, words
+from marketfold.llm.chunks import REMEMBERED, byte_letters, pieces, pre_tokens, special_strings
 from marketfold.llm.common import whole_text
 
-# What the word tokenizer keeps of a normalized text.
-WORD = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+", regex.V1
-)
 END_OF_WORD = "</w>"
 
 # Texts that are counted together.
@@ -43,7 +37,6 @@ class Ranks:
         with open(path, encoding="utf-8") as file:
             definition = json.load(file)
         vocabulary, merges = definition["model"]["vocab"], definition["model"]["merges"]
-        self.specials = sorted((t["content"] for t in definition["added_tokens"]), key=len)[::-1]
         pairs = [(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges]
         keys = np.array([a << 32 | b for a, b, _ in pairs], np.int64)
         order = np.argsort(keys)
@@ -51,9 +44,7 @@ class Ranks:
         self.rank = order.astype(np.int32)
         self.merged = np.array([to for _, _, to in pairs], np.int64)[order]
         self.none = len(pairs)
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        hidden = [b for b in range(256) if b not in set(plain)]
-        letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        letter = byte_letters()
         self.inner = np.array([vocabulary[letter[b]] for b in range(256)], np.int64)
         self.last = np.array([vocabulary[letter[b] + END_OF_WORD] for b in range(256)], np.int64)
 
@@ -107,31 +98,25 @@ def _known(path: str) -> dict[str, int]:
     return {}
 
 
-def normalize(chunk: str) -> str:
-    """Composed and in lower case, letter by letter: no final form for a sigma at the end."""
-    return unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-
-
 def count_chunks(chunks: list[str], path: str) -> dict[str, int]:
     """Tokens of each run without white space."""
-    table = ranks(path)
-    special = regex.compile("|".join(map(regex.escape, table.specials)))
-    pieces = []
+    special = special_strings(path)
+    split = []
     for chunk in chunks:
-        parts = special.split(chunk) if table.specials else [chunk]
-        found = [word for part in parts for word in WORD.findall(normalize(part))]
-        pieces.append((len(parts) - 1, found))
-    unique = list({word for _, found in pieces for word in found})
-    counted = dict(zip(unique, table.counts(unique).tolist(), strict=True)) if unique else {}
+        parts = special.split(chunk) if special and "<|" in chunk else [chunk]
+        found = [word for part in parts[::2] if part for word in pre_tokens(part)]
+        split.append((len(parts) // 2, found))
+    unique = list({word for _, found in split for word in found})
+    counted = dict(zip(unique, ranks(path).counts(unique).tolist(), strict=True)) if unique else {}
     return {
         chunk: specials + sum(map(counted.__getitem__, found))
-        for chunk, (specials, found) in zip(chunks, pieces, strict=True)
+        for chunk, (specials, found) in zip(chunks, split, strict=True)
     }
 
 
 def count_texts(texts: list[str], path: str) -> list[int]:
     known = _known(path)
-    split = [words(text) for text in texts]
+    split = [pieces(text, special_strings(path)) for text in texts]
     new = set().union(*split).difference(known)
     if len(known) + len(new) > REMEMBERED:
         known.clear()
