@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, counts, decontaminate, lines, minhash, quality
+from marketfold.llm import bitplane, bpe, counts, decontaminate, lines, minhash, quality, sketch
 from marketfold.llm.common import documents, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(documents(spark, folder), labels)
 
 
+def op4_bloom_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.compare_with_edit(documents(spark, folder))
+
+
 def op5_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     written = bitplane.write_ids(documents(spark, folder), path, end_id=2)
@@ -92,6 +96,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
         "op3_quality": op3_quality,
+        "op4_bloom_lookup": op4_bloom_lookup,
         "op5_bit_planes": op5_bit_planes,
         "op7_line_dedup": op7_line_dedup,
         "op8_token_counts": op8_token_counts,
