@@ -1,18 +1,23 @@
 """Near-duplicate documents by a signature-coordinate inverted join.
 
-Documents with equal shingle sets are one class. Every class has a MinHash signature, and is posted
-under its (coordinate, value) pairs. A pair of classes must agree in ``matches`` of ``coordinates``
-places to be looked at; so it meets in one of the first ``coordinates - matches + 1``, the prefix, and
-only those are posted. A pair is taken from the list of its first common coordinate and skipped in all
-others. What is left is confirmed on the full shingle sets.
+Documents with equal shingle sets are one class. Every class has a MinHash signature of
+``coordinates`` places and is posted under its (coordinate, value) pairs. A pair of classes that
+agrees in ``matches`` of them meets in one of the first ``coordinates - matches + 1``, the prefix, and
+only those are posted. Of each further coordinate up to ``bits`` the signature keeps one bit; a pair
+is skipped if more of these differ than ``different``. What is left is confirmed on the full
+shingle sets.
 
-Two things keep lists short without leaving anything out. In a long list all members are first
-compared with the smallest one, which joins large groups of near copies; pairs that are connected
-already need no comparison. Members of a list that is still long are posted again under pairs of
-coordinates, then under triples and so on: a pair that agrees in ``matches`` places agrees in two,
-three and more of them, at the depth where it is looked for in the list of its first such places.
+Three things keep lists short and leave nothing out:
 
-A pair at the threshold of 0.8 misses 4 of 16 matches with a chance of 2.3e-7.
+* In a list that is crowded with look-alikes, all members are compared with the smallest one first,
+  which joins most of a large group of near copies. Connected pairs need no comparison.
+* A shingle that no other member of crowded lists has cannot be common to a pair from such a list. A pair
+  is skipped if what is left of its sets is too small.
+* Members of a list that is still long are posted again under pairs of coordinates, then triples and so
+  on: a pair that agrees in ``matches`` places meets at each of these depths.
+
+At a similarity of 0.8 a pair is missed with a chance of 5e-7: half of it for fewer than 4 of 16
+equal coordinates, where lists go that deep, half for more than 52 of 256 different bits.
 
 Texts without words have an empty set, are linked with nothing and are their own component. Repeated
 rows and rows that share an id belong together. A null id cannot be named as a component: such a row
@@ -44,6 +49,8 @@ class Likeness:
     percent: int = 80
     coordinates: int = 16
     matches: int = 4
+    bits: int = 256
+    different: int = 52
     # A list with more members outside its largest component is posted again, one coordinate deeper.
     long_list: int = 24
 
@@ -59,12 +66,12 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     signed = staged(
         texts.mapInArrow(
-            functools.partial(_sign, like=like), "id long, n int, digest binary, sig array<int>"
+            functools.partial(_sign, like=like), "id long, n int, digest binary, sig array<int>, bits array<long>"
         )
     )
     classes = signed.filter("n > 0 AND id IS NOT NULL").groupBy("digest")
     nodes = staged(
-        classes.agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+        classes.agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"))
     )
     links = _links(nodes, texts, like)
     # One id may stand in several classes; it connects them.
@@ -100,44 +107,79 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     prefix = like.coordinates - like.matches + 1
     posted = nodes.select(
         "node", F.posexplode(F.slice("sig", 1, prefix)).alias("place", "value")
-    ).select("node", "place", F.xxhash64("place", "value").alias("key"), F.lit(1).alias("depth"))
+    ).select("node", "place", F.xxhash64("place", "value").alias("key"))
     repeated = staged(
         posted.groupBy("key")
         .agg(F.count("*").alias("size"), F.min("node").alias("hub"))
         .filter("size > 1")
     )
     lists = staged(posted.join(repeated, "key"))
-
-    hubs = lists.filter((F.col("size") > like.long_list) & (F.col("node") != F.col("hub")))
-    stars = hubs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stars.join(_signed(nodes, "a"), "a").join(_signed(nodes, "b"), "b")
-    starred = _confirm(staged(stars.filter(_may_match(like)).select("a", "b")), texts, like)
+    crowd, starred = _crowded(lists, nodes, texts, like)
     joined = staged(smallest_reachable(starred))
 
-    members = lists.select("key", "place", "depth", "node")
-    members = members.join(joined, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
+    members = lists.select("key", "place", "node").join(joined, "node", "left")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    members = members.join(crowd.keys, "key", "left").join(crowd.alone, "node", "left")
+    members = members.withColumn("alone", F.when(F.col("crowded"), F.coalesce("alone", F.lit(0))))
+    members = members.select("key", "place", "node", "component", F.coalesce("alone", F.lit(0)).alias("alone"))
     found = None
     depth = 1
     while True:
-        members = staged(members.join(nodes.select("node", "n", "sig"), "node"))
+        members = staged(members)
         groups = members.groupBy("key", "component").agg(F.count("*").alias("size"))
         shape = groups.groupBy("key").agg(
             F.max_by("component", F.struct("size", "component")).alias("largest"),
             (F.sum("size") - F.max("size")).alias("others"),
         )
         shape = staged(shape.filter("others > 0"))
-        members = staged(members.join(shape, "key"))
+        members = staged(members.join(shape, "key").join(nodes, "node"))
         short = (F.col("others") <= like.long_list) | F.lit(depth == like.matches)
-        pairs = staged(_pairs_across(members.filter(short), like))
+        pairs = staged(_pairs_across(members.filter(short), like).distinct())
         found = pairs if found is None else found.unionAll(pairs)
         long = members.filter(~short)
         if depth == like.matches or long.isEmpty():
             break
         depth += 1
         members = _deeper(long, depth, like)
-    return starred.unionAll(_confirm(found, texts, like))
+    return starred.unionAll(_confirm(found.distinct(), _sets_of(found, texts, like), like))
+
+
+@dataclass(frozen=True)
+class _Crowd:
+    """``keys``: (key, crowded) of the crowded lists. ``alone``: (node, alone), the number of shingles
+    that no other member of any of them has."""
+
+    keys: DataFrame
+    alone: DataFrame
+
+
+def _crowded(
+    lists: DataFrame, nodes: DataFrame, texts: DataFrame, like: Likeness
+) -> tuple[_Crowd, DataFrame]:
+    """Lists with many members that look like their smallest one, and the links to that one."""
+    long = lists.filter((F.col("size") > like.long_list) & (F.col("node") != F.col("hub")))
+    stars = long.select("key", F.col("hub").alias("a"), F.col("node").alias("b"))
+    near = (F.least("n_a", "n_b"), F.greatest("n_a", "n_b"))
+    stars = staged(
+        stars.join(_signed(nodes, "a"), "a")
+        .join(_signed(nodes, "b"), "b")
+        .filter((near[0] * 100 >= near[1] * like.percent) & _alike("bits_a", "bits_b", like))
+        .select("key", "a", "b")
+    )
+    keys = stars.groupBy("key").agg((F.count("*") > like.long_list).alias("crowded"))
+    keys = staged(keys.filter("crowded"))
+    members = lists.join(keys, "key").select("node").distinct()
+    sets = _sets_of(members.select(F.col("node").alias("a"), F.col("node").alias("b")), texts, like)
+    shingles = sets.mapInArrow(_each_shingle, "node long, shingle long")
+    alone = (
+        shingles.groupBy("shingle")
+        .agg(F.count("*").alias("seen"), F.min("node").alias("node"))
+        .filter("seen = 1")
+        .groupBy("node")
+        .agg(F.count("*").cast("int").alias("alone"))
+    )
+    pairs = stars.join(keys, "key").select("a", "b").distinct()
+    return _Crowd(keys, staged(alone)), _confirm(pairs, sets, like)
 
 
 def _deeper(long: DataFrame, depth: int, like: Likeness) -> DataFrame:
@@ -146,78 +188,64 @@ def _deeper(long: DataFrame, depth: int, like: Likeness) -> DataFrame:
     last = like.coordinates - like.matches + depth - 1
     following = F.slice("sig", F.col("place") + 2, F.lit(last) - F.col("place"))
     again = long.filter(F.col("place") < last).select(
-        "node", "component", "key", "place", F.posexplode(following).alias("skip", "value")
-    )
-    place = (F.col("place") + F.col("skip") + 1).alias("place")
-    posted = again.select("node", "component", "key", place, "value").select(
-        F.xxhash64("key", "place", "value").alias("key"),
-        "place",
-        F.lit(depth).alias("depth"),
-        "node",
-        "component",
+        "node", "component", "alone", "key", "place", F.posexplode(following).alias("skip", "value")
     )
-    posted = staged(posted)
+    posted = again.select(
+        "node", "component", "alone", "key", (F.col("place") + F.col("skip") + 1).alias("place"), "value"
+    ).withColumn("key", F.xxhash64("key", "place", "value"))
+    posted = staged(posted.drop("value"))
     repeated = staged(posted.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
     return posted.join(repeated.select("key"), "key")
 
 
 def _pairs_across(members: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of a list between different components, one side outside the largest of them.
-
-    Only pairs whose common coordinates up to the list's own are exactly those of the list.
-    """
-    places = range(like.coordinates)
-    wide = members.select(
-        "key", "place", "depth", "node", "n", "component", "largest",
-        *[F.col("sig")[i].alias(f"s{i}") for i in places],
-    )
-    left = wide.filter("component <> largest").withColumnsRenamed(
-        {"node": "a", "n": "n_a", "component": "component_a"} | {f"s{i}": f"a{i}" for i in places}
-    )
-    right = wide.select(
-        "key",
-        F.col("node").alias("b"),
-        F.col("n").alias("n_b"),
-        F.col("component").alias("component_b"),
-        *[F.col(f"s{i}").alias(f"b{i}") for i in places],
-        (F.col("component") != F.col("largest")).alias("both"),
-    )
-    equal = [(F.col(f"a{i}") == F.col(f"b{i}")).cast("int") for i in places]
-    upto = [F.when(F.col("place") >= i, equal[i]).otherwise(0) for i in places]
+    """Pairs of a list between different components, one side outside the largest of them."""
+    words = [F.col("bits")[i].alias(f"w{i}") for i in range(like.bits // 64)]
+    wide = members.select("key", "node", "n", "component", "largest", "alone", *words)
+    left = wide.filter("component <> largest")
+    left = left.withColumnsRenamed({name: f"{name}_a" for name in wide.columns})
+    right = wide.withColumnsRenamed({name: f"{name}_b" for name in wide.columns})
+    differ = [
+        F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(like.bits // 64)
+    ]
+    usable = F.least(F.expr("n_a - alone_a"), F.expr("n_b - alone_b"))
     condition = (
-        (F.col("component_a") != F.col("component_b"))
-        & (~F.col("both") | (F.col("a") < F.col("b")))
-        & _sizes_fit("n_a", "n_b", like)
-        & (sum(equal[1:], equal[0]) >= like.matches)
-        & (sum(upto[1:], upto[0]) == F.col("depth"))
+        (F.col("key_a") == F.col("key_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("largest_b")) | (F.col("node_a") < F.col("node_b")))
+        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * like.percent)
+        # Of both sets together, the common part of a near pair is percent / (100 + percent).
+        & (usable * (100 + like.percent) >= (F.col("n_a") + F.col("n_b")) * like.percent)
+        & (sum(differ[1:], differ[0]) <= like.different)
+    )
+    return left.join(right, condition).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
     )
-    pairs = left.join(right.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & condition)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _signed(nodes: DataFrame, side: str) -> DataFrame:
     return nodes.select(
-        F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sig").alias(f"sig_{side}")
+        F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")
     )
 
 
-def _sizes_fit(a: str, b: str, like: Likeness) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * like.percent
-
-
-def _may_match(like: Likeness) -> Column:
-    equal = [(F.col("sig_a")[i] == F.col("sig_b")[i]).cast("int") for i in range(like.coordinates)]
-    return _sizes_fit("n_a", "n_b", like) & (sum(equal[1:], equal[0]) >= like.matches)
+def _alike(a: str, b: str, like: Likeness) -> Column:
+    differ = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(like.bits // 64)]
+    return sum(differ[1:], differ[0]) <= like.different
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) of nodes whose full shingle sets are near."""
+def _sets_of(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """(id, shingles) of all nodes in the pairs (a, b)."""
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    sets = staged(
+    return staged(
         texts.filter("id IS NOT NULL")
         .join(wanted.hint("shuffle_hash"), "id")
         .mapInArrow(functools.partial(_sets, words=like.words), "id long, shingles binary")
     )
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) of nodes whose full shingle sets are near."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
@@ -225,41 +253,59 @@ def _confirm(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     return staged(near.distinct())
 
 
-def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """The least value of every coordinate's own hash over the set."""
-    odd, shift = _coordinate_hashes(coordinates)
-    least = np.full(coordinates, np.iinfo(np.uint64).max, np.uint64)
+def signature(shingles: np.ndarray, places: int) -> np.ndarray:
+    """The least value of every place's own hash over the set."""
+    odd, shift = _place_hashes(places)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full(places, np.iinfo(np.uint32).max, np.uint32)
     # In slices, so that a very long text takes no more memory than another.
-    for start in range(0, len(shingles), 4096):
-        hashed = shingles[start : start + 4096, None] * odd + shift
+    for start in range(0, len(short), 512):
+        hashed = short[start : start + 512, None] * odd
+        hashed += shift
         least = np.minimum(least, hashed.min(axis=0))
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return least
 
 
 @functools.cache
-def _coordinate_hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _place_hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(7)
-    odd, shift = random.integers(0, 2**64 - 1, (2, n), np.uint64)
-    return odd | np.uint64(1), shift
+    odd, shift = random.integers(0, 2**32, (2, n), np.uint32)
+    return odd | np.uint32(1), shift
+
+
+def sketch_bits(least: np.ndarray) -> np.ndarray:
+    """One bit of each place, packed into 64-bit numbers."""
+    bits = (least * np.uint32(0x9E3779B1)) >> np.uint32(31)
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def _sign(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(text, like.words) for text in batch["text"].to_pylist()]
+        least = [signature(each, like.bits) if len(each) else None for each in sets]
+        posted = [x if x is None else x[: like.coordinates].view(np.int32) for x in least]
+        bits = [x if x is None else sketch_bits(x) for x in least]
         yield pa.RecordBatch.from_arrays(
             [
                 batch["id"],
                 pa.array([len(each) for each in sets], pa.int32()),
                 pa.array([xxhash.xxh3_128_digest(each.tobytes()) for each in sets], pa.binary()),
-                pa.array(
-                    [signature(each, like.coordinates) if len(each) else None for each in sets],
-                    pa.list_(pa.int32()),
-                ),
+                pa.array(posted, pa.list_(pa.int32())),
+                pa.array(bits, pa.list_(pa.int64())),
             ],
-            ["id", "n", "digest", "sig"],
+            ["id", "n", "digest", "sig", "bits"],
         )
 
 
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, shingles in zip(batch["id"].to_pylist(), batch["shingles"], strict=True):
+            own = np.frombuffer(shingles.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), node, np.int64)), pa.array(own)], ["node", "shingle"]
+            )
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(text, words).tobytes() for text in batch["text"].to_pylist()]
