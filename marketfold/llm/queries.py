@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, counts, decontaminate, lines, minhash, quality, sketch
-from marketfold.llm.common import documents, read
+from marketfold.llm import bitplane, bpe, chat, counts, decontaminate, lines, minhash, quality, sketch
+from marketfold.llm.common import documents, prepare, read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,36 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """(conv, turn, role, text): turns as they stand in raw transcripts of three styles.
+
+    A turn ends with a blank line. Three in four begin with a speaker marker, the others with nothing.
+    """
+    style = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(3))
+    name = F.initcap("role")
+    human = F.when(F.col("role") == "user", "Human").when(F.col("role") == "assistant", "AI")
+    marker = (
+        F.when(style == 0, F.concat(name, F.lit(": ")))
+        .when(style == 1, F.concat(F.coalesce(human, name), F.lit(": ")))
+        .otherwise(F.concat(F.lit("["), "role", F.lit("] ")))
+    )
+    bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 3
+    text = F.concat(
+        F.when(bare, "").otherwise(F.coalesce(marker, F.lit(""))),
+        F.coalesce("text", F.lit("")),
+        F.lit("\n"),
+    )
+    return conversations.select(F.col("conv_id").alias("conv"), "turn", "role", text.alias("text"))
+
+
+def op6_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "conv_id LONG, turn LONG, role STRING, text STRING"
+    turns = transcripts(read(prepare(spark), folder, "conversations", schema))
+    known = turns.filter(F.col("role").isin(*chat.ROLES) & ~quality.held_out("conv"))
+    model = chat.train(staged(chat.labelled_lines(known)))
+    return chat.parse(turns, model).withColumnRenamed("conv", "conv_id")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = lines.with_spans(
         documents(spark, folder), "doc_id", "text", lines.PASSAGE_WORDS, lines.RUN_WORDS
@@ -98,6 +128,7 @@ def queries() -> dict[str, Query]:
         "op3_quality": op3_quality,
         "op4_bloom_lookup": op4_bloom_lookup,
         "op5_bit_planes": op5_bit_planes,
+        "op6_transcripts": op6_transcripts,
         "op7_line_dedup": op7_line_dedup,
         "op8_token_counts": op8_token_counts,
         "op9_minhash": op9_minhash,
