@@ -33,7 +33,7 @@ from marketfold.llm.common import whole_text
 from marketfold.session import checkpoint_dir
 
 BLOCK_IDS = 65_536
-LEVEL = 3
+LEVEL = 1
 
 # magic, ids, documents, planes
 HEADER = struct.Struct("<4sQII")

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 # Entries a worker remembers before it starts anew, some 200 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 # What the word tokenizer keeps of a normalized text.
 WORD = regex.compile(
@@ -79,7 +79,7 @@ def normalize(chunk: str) -> str:
 
 
 # A stop right after another sign is one word with it.
-SIGNS_BEFORE_STOP = re.compile(r"(?:[^\w\s]|_)[.,]")
+SIGNS_BEFORE_STOP = re.compile(r"[.,](?<=[^\w\s].)|[.,](?<=_.)")
 
 
 def pieces(text: str, specials: re.Pattern | None) -> list[str]:
