@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, chat, counts, decontaminate, lines, minhash, quality, sketch
+from marketfold.llm import bitplane, bpe, chat, counts, decontaminate, lines, minhash, pii, quality, sketch
 from marketfold.llm.common import documents, prepare, read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,30 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _spans(column: Column) -> Column:
+    """Spans as text, ``kind:start:end`` by kind as listed, then by start."""
+    kinds = F.array(*map(F.lit, pii.KINDS))
+    each = F.transform(
+        F.array_sort(column),
+        lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["end"]),
+    )
+    return F.concat_ws(",", each)
+
+
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_spans(documents(spark, folder))
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number(i).alias(f"n_{name}") for i, name in enumerate(pii.KINDS[: pii.BASE])],
+        F.sha2(_spans(F.col("base")), 256).alias("base_sha256"),
+        _spans(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     labels = read(spark, folder, "labels", "doc_id LONG, quality INT")
     return quality.score_documents(documents(spark, folder), labels)
@@ -125,6 +149,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
+        "op2_pii": op2_pii,
         "op3_quality": op3_quality,
         "op4_bloom_lookup": op4_bloom_lookup,
         "op5_bit_planes": op5_bit_planes,
