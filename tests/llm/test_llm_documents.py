@@ -1,0 +1,251 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from marketfold.llm import chat, pii, quality, sketch
+from marketfold.llm.queries import transcripts
+
+DATA = "/root/testdata/sf0.01"
+PARAGRAPH_END = re.compile(sketch.PARAGRAPH_END)
+
+
+# --- quality ---------------------------------------------------------------------------------------
+
+
+def test_held_out_documents_are_judged_well(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    scored = quality.score_documents(docs, labels).filter("held_out").join(labels, "doc_id").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in scored)
+    right = np.mean([r.predicted == r.quality for r in scored])
+    good = np.mean([r.predicted for r in scored if r.quality == 1])
+    bad = np.mean([1 - r.predicted for r in scored if r.quality == 0])
+    assert right > 0.98
+    assert good > 0.98
+    assert bad > 0.95
+
+
+def test_scores_of_odd_texts_and_tables(spark, docs):
+    odd = [(1, None), (2, ""), (None, "a"), (3, "x" * 300_000), (4, "\n" * 50), (3, "x" * 300_000)]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (4, 0)], "doc_id long, quality int")
+    found = quality.score_documents(docs(odd), labels).collect()
+    assert len(found) == len(odd)
+    assert all(0 <= r.score <= 1 for r in found)
+    nothing = labels.filter("false")
+    assert {r.score for r in quality.score_documents(docs(odd), nothing).collect()} == {0.5}
+    assert quality.score_documents(docs([]), labels).collect() == []
+    assert quality.keep_good(docs(odd), nothing).count() == len(odd)
+
+
+def test_kept_rows_are_those_with_a_good_score(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    good = quality.score_documents(docs, labels).filter("predicted = 1")
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in good.collect()}
+
+
+def test_score_is_the_ratio_of_two_normal_densities():
+    rng = np.random.default_rng(1)
+    d = quality.STATISTICS
+    means = (np.zeros(d), np.ones(d))
+    covs = [np.eye(d), np.eye(d) * 2]
+    model = quality.Model(means, tuple(map(np.linalg.cholesky, covs)), (np.log(0.3), np.log(0.7)), np.zeros(d))
+    x = np.abs(rng.normal(size=(5, d)))
+    z = quality.smoothed(x, model.center)
+
+    def density(mean, cov):
+        gap = z - mean
+        distance = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap)
+        return np.exp(-0.5 * distance) / np.sqrt(np.linalg.det(cov))
+
+    a, b = (w * density(m, c) for w, m, c in zip((0.3, 0.7), means, covs, strict=True))
+    assert model.score(x) == pytest.approx(b / (a + b))
+
+
+# --- fingerprints ----------------------------------------------------------------------------------
+
+
+def paragraphs(text):
+    return {p for p in PARAGRAPH_END.split(text) if p.strip(" ")}
+
+
+def likeness(a, b):
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_likeness_equals_that_of_the_paragraph_sets(docs, seed):
+    pick = random.Random(seed)
+    pool = [f"Line {i} of some text. And more {i}." for i in range(400)]
+    texts = ["\n".join(pick.choices(pool, k=pick.choice([0, 1, 3, 20, 90, 300]))) for _ in range(30)]
+    texts += [None, "", "one line only", "same\ntext", "same\ntext", "É🙂 odd", "x" * 20_001]
+    rows = list(enumerate(texts))
+    pick.shuffle(rows)
+    found = {r.doc_id: r for r in sketch.compare_with_edit(docs(rows).repartition(3)).collect()}
+    by_text = {}
+    for i, text in enumerate(t or "" for t in texts):
+        after = texts[(i + 1) % len(texts)] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        row = found[i]
+        assert row.n_chars == len(text)
+        assert row.near_edited == pytest.approx(likeness(paragraphs(text), paragraphs(edited)))
+        assert row.near_next == pytest.approx(likeness(paragraphs(text), paragraphs(after)))
+        assert by_text.setdefault(text, row.fingerprint) == row.fingerprint
+
+
+def test_groups_of_rows_are_chained_in_order(docs, monkeypatch):
+    monkeypatch.setattr(sketch, "GROUP_ROWS", 3)
+    rows = [(5 * i, f"text {i}") for i in range(40)]
+    found = sketch._with_next(docs(rows).repartition(4), "doc_id", "text").collect()
+    assert {(r.text, r.next_text) for r in found} == {
+        (f"text {i}", f"text {(i + 1) % 40}") for i in range(40)
+    }
+
+
+def test_fingerprints_of_one_row_null_ids_repeated_rows_and_nothing(docs):
+    (one,) = sketch.compare_with_edit(docs([(1, "a\nb")])).collect()
+    assert one.near_next == 1.0
+    found = sketch.compare_with_edit(docs([(None, "q"), (2, "r"), (2, "r")])).collect()
+    assert sorted((r.doc_id or 0, r.near_next) for r in found) == [(0, 0.0), (2, 0.0), (2, 1.0)]
+    assert sketch.compare_with_edit(docs([])).collect() == []
+
+
+# --- personal data ---------------------------------------------------------------------------------
+
+PATTERNS = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def valid(kind, match):
+    digits = [int(c) for c in match if c in "0123456789"]
+    if kind == 0:
+        return True
+    if kind == 1:
+        return all(int(part) <= 255 for part in match.split("."))
+    if kind == 3:
+        return 9 <= len(digits) <= 15
+    doubled = [2 * d - 9 * (d > 4) if i % 2 else d for i, d in enumerate(reversed(digits))]
+    return 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+
+
+def base_spans(text):
+    return sorted(
+        (kind, *m.span())
+        for kind, pattern in enumerate(PATTERNS)
+        for m in re.finditer(pattern, text)
+        if valid(kind, m[0])
+    )
+
+
+def test_base_spans_equal_the_patterns():
+    pick = random.Random(2)
+    parts = ["1", "23", "255", "256", ".", "..", "@", "a", "b.c", "-", " ", "+", "(", ")", "é", "%", "٣"]
+    parts += ["4111111111111111", "+1 (784) 555-8120", "x@y.z", "0000"]
+    for _ in range(5000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(0, 25)))
+        assert pii.find(text)[0] == base_spans(text)
+
+
+def test_very_long_runs_take_linear_time():
+    for run in ("a" * 400_000 + "@", "1" * 400_000, "+" * 200_000, "1 " * 200_000, "@" * 300_000):
+        assert pii.find(run + " x@y.zz")[0][0][0] == 0
+
+
+def test_spans_are_added_but_never_over_base_spans(docs):
+    key = "token = \"{}\" and"
+    secrets = [f"{random.Random(i).getrandbits(160):040x}" for i in range(40)]
+    rows = [(i, f"some words {key.format(s)} more") for i, s in enumerate(secrets)]
+    rows += [(100 + i, f"mail a{i}@b.example or +1 (784) 555-81{i:02d} 4111111111111111") for i in range(30)]
+    rows += [(200, None), (201, ""), (None, "1.2.3.4"), (202, "card 4111111111111112 not")]
+    found = {r.doc_id: r for r in pii.find_spans(docs(rows)).collect()}
+    for i, s in enumerate(secrets):
+        text = rows[i][1]
+        assert [(a.kind, text[a.start : a.end]) for a in found[i].added] == [(6, s)]
+    for i, text in rows:
+        assert [tuple(b) for b in found[i].base] == base_spans(text or "")
+        spans = sorted((s.start, s.end) for s in found[i].added)
+        assert all(e <= b or f <= a for a, e in spans for _, b, f in base_spans(text or ""))
+    assert found[202].added == []
+    assert pii.find_spans(docs([])).collect() == []
+
+
+# --- transcripts -----------------------------------------------------------------------------------
+
+
+def turns(spark):
+    return transcripts(spark.read.parquet(f"{DATA}/conversations.parquet"))
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    from marketfold.llm.common import prepare, staged
+
+    prepare(spark)
+    known = turns(spark).filter(~quality.held_out("conv"))
+    return chat.train(staged(chat.labelled_lines(known)))
+
+
+def test_held_out_turns_are_recovered(spark, model):
+    held = turns(spark).filter(quality.held_out("conv"))
+    found = chat.parse(held, model).filter("begins AND line = 0").collect()
+    got = {(r.conv, r.turn): r.role for r in found}
+    truth = {(r.conv, r.turn): r.role for r in held.collect()}
+    assert np.mean([got.get(k) == role for k, role in truth.items()]) > 0.95
+
+
+def test_blocks_give_what_one_pass_gives(spark, model):
+    rows = turns(spark).filter("conv < 40")
+    whole = chat.parse(rows, model).orderBy("conv", "turn", "line").collect()
+    cut = chat.parse(rows, model, block_turns=1).orderBy("conv", "turn", "line").collect()
+
+    def written(pieces):
+        texts = {}
+        for r in pieces:
+            texts[r.conv] = texts.get(r.conv, "") + r.rendered
+        return texts
+
+    assert written(cut) == written(whole)
+    assert [(r.conv, r.turn, r.line, r.role) for r in cut if r.begins] == [
+        (r.conv, r.turn, r.line, r.role) for r in whole if r.begins
+    ]
+
+
+def test_blocks_of_any_length_share_the_best_path(model):
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        emission = rng.normal(size=(int(rng.integers(4, 40)), chat.STATES))
+        whole = chat.decode(model, emission, None, None)
+        cut = int(rng.integers(1, len(emission)))
+        first, second = chat.transfer(model, emission[:cut]), chat.transfer(model, emission[cut:])
+        score = first[-1][:, None] + second[:-1]
+        middle, end = np.unravel_index(score.argmax(), score.shape)
+        assert (middle, end) == (whole[cut - 1], whole[-1])
+        joined = chat.decode(model, emission[:cut], None, int(middle))
+        assert joined + chat.decode(model, emission[cut:], int(middle), int(end)) == whole
+
+
+def test_odd_transcripts(spark, model):
+    rows = [(1, None, "User: a"), (1, 0, None), (1, 0, "Assistant: b"), (None, 5, "[user] q?"), (2, 3, "")]
+    rows += [(3, 1, "User: x"), (3, 1, "User: x")]
+    found = chat.parse(spark.createDataFrame(rows, "conv long, turn long, text string"), model).collect()
+    text = {}
+    for r in sorted(found, key=lambda r: (r.conv or 0, r.turn if r.turn is not None else -1, r.line)):
+        text[r.conv] = text.get(r.conv, "") + r.rendered
+    assert set(text) == {1, 2, 3, None}
+    assert text[None] == "<|user|>\nq?\n<|end|>\n"
+    # Two user turns in a row are unlikelier than one that quotes a marker.
+    assert text[3] == "<|user|>\nx\nUser: x\n<|end|>\n"
+    empty = spark.createDataFrame([], "conv long, turn long, text string")
+    assert chat.parse(empty, model).collect() == []
