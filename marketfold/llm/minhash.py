@@ -13,7 +13,7 @@ Three things keep lists short and leave nothing out:
   which joins most of a large group of near copies. Connected pairs need no comparison.
 * A shingle that no other member of crowded lists has cannot be common to a pair from such a list. A pair
   is skipped if what is left of its sets is too small.
-* Members of a list that is still long are posted again under pairs of coordinates, then triples and so
+* Members of a long list that is not crowded are posted again under pairs of coordinates, then triples and so
   on: a pair that agrees in ``matches`` places meets at each of these depths.
 
 At a similarity of 0.8 a pair is missed with a chance of 5e-7: half of it for fewer than 4 of 16
@@ -51,8 +51,10 @@ class Likeness:
     matches: int = 4
     bits: int = 256
     different: int = 52
-    # A list with more members outside its largest component is posted again, one coordinate deeper.
-    long_list: int = 24
+    # A list with more members that look like its smallest one is crowded.
+    crowd: int = 24
+    # Any other list with more members outside its largest component is posted again, one deeper.
+    long_list: int = 128
 
 
 def near_duplicates(
@@ -120,8 +122,14 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     members = lists.select("key", "place", "node").join(joined, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     members = members.join(crowd.keys, "key", "left").join(crowd.alone, "node", "left")
-    members = members.withColumn("alone", F.when(F.col("crowded"), F.coalesce("alone", F.lit(0))))
-    members = members.select("key", "place", "node", "component", F.coalesce("alone", F.lit(0)).alias("alone"))
+    members = members.select(
+        "key",
+        "place",
+        "node",
+        "component",
+        F.coalesce("crowded", F.lit(False)).alias("crowded"),
+        F.when(F.col("crowded"), F.col("alone")).alias("alone"),
+    ).fillna(0, "alone")
     found = None
     depth = 1
     while True:
@@ -133,7 +141,8 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
         )
         shape = staged(shape.filter("others > 0"))
         members = staged(members.join(shape, "key").join(nodes, "node"))
-        short = (F.col("others") <= like.long_list) | F.lit(depth == like.matches)
+        short = F.col("crowded") | (F.col("others") <= like.long_list)
+        short = short | F.lit(depth == like.matches)
         pairs = staged(_pairs_across(members.filter(short), like).distinct())
         found = pairs if found is None else found.unionAll(pairs)
         long = members.filter(~short)
@@ -157,7 +166,7 @@ def _crowded(
     lists: DataFrame, nodes: DataFrame, texts: DataFrame, like: Likeness
 ) -> tuple[_Crowd, DataFrame]:
     """Lists with many members that look like their smallest one, and the links to that one."""
-    long = lists.filter((F.col("size") > like.long_list) & (F.col("node") != F.col("hub")))
+    long = lists.filter((F.col("size") > like.crowd) & (F.col("node") != F.col("hub")))
     stars = long.select("key", F.col("hub").alias("a"), F.col("node").alias("b"))
     near = (F.least("n_a", "n_b"), F.greatest("n_a", "n_b"))
     stars = staged(
@@ -166,7 +175,7 @@ def _crowded(
         .filter((near[0] * 100 >= near[1] * like.percent) & _alike("bits_a", "bits_b", like))
         .select("key", "a", "b")
     )
-    keys = stars.groupBy("key").agg((F.count("*") > like.long_list).alias("crowded"))
+    keys = stars.groupBy("key").agg((F.count("*") > like.crowd).alias("crowded"))
     keys = staged(keys.filter("crowded"))
     members = lists.join(keys, "key").select("node").distinct()
     sets = _sets_of(members.select(F.col("node").alias("a"), F.col("node").alias("b")), texts, like)
@@ -188,12 +197,19 @@ def _deeper(long: DataFrame, depth: int, like: Likeness) -> DataFrame:
     last = like.coordinates - like.matches + depth - 1
     following = F.slice("sig", F.col("place") + 2, F.lit(last) - F.col("place"))
     again = long.filter(F.col("place") < last).select(
-        "node", "component", "alone", "key", "place", F.posexplode(following).alias("skip", "value")
+        "node", "component", "key", "place", F.posexplode(following).alias("skip", "value")
     )
     posted = again.select(
-        "node", "component", "alone", "key", (F.col("place") + F.col("skip") + 1).alias("place"), "value"
-    ).withColumn("key", F.xxhash64("key", "place", "value"))
-    posted = staged(posted.drop("value"))
+        "node", "component", "key", (F.col("place") + F.col("skip") + 1).alias("place"), "value"
+    ).select(
+        F.xxhash64("key", "place", "value").alias("key"),
+        "place",
+        "node",
+        "component",
+        F.lit(False).alias("crowded"),
+        F.lit(0).alias("alone"),
+    )
+    posted = staged(posted)
     repeated = staged(posted.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
     return posted.join(repeated.select("key"), "key")
 
@@ -202,6 +218,9 @@ def _pairs_across(members: DataFrame, like: Likeness) -> DataFrame:
     """Pairs of a list between different components, one side outside the largest of them."""
     words = [F.col("bits")[i].alias(f"w{i}") for i in range(like.bits // 64)]
     wide = members.select("key", "node", "n", "component", "largest", "alone", *words)
+    # Of its own shingles a near pair has that share at least in common.
+    enough = (F.col("n") - F.col("alone")) * 100 >= F.col("n") * like.percent
+    wide = wide.filter(enough)
     left = wide.filter("component <> largest")
     left = left.withColumnsRenamed({name: f"{name}_a" for name in wide.columns})
     right = wide.withColumnsRenamed({name: f"{name}_b" for name in wide.columns})

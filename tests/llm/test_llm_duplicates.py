@@ -71,10 +71,10 @@ def corpus(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("seed", "long_list"), [(1, 24), (2, 3), (3, 1)])
-def test_components_equal_those_of_all_pairs(docs, seed, long_list):
+@pytest.mark.parametrize(("seed", "crowd", "long_list"), [(1, 24, 128), (2, 3, 3), (3, 999, 1), (4, 1, 1)])
+def test_components_equal_those_of_all_pairs(docs, seed, crowd, long_list):
     rows = corpus(seed)
-    like = minhash.Likeness(words=4, long_list=long_list)
+    like = minhash.Likeness(words=4, crowd=crowd, long_list=long_list)
     found = minhash.near_duplicates(docs(rows).repartition(6), like).collect()
     expected = components(rows, 4)
     assert {r.doc_id: r.component_id for r in found} == expected
