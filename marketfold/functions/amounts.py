@@ -1,17 +1,22 @@
-"""Sums of doubles that do not depend on the order in which rows arrive.
+"""Sums of doubles that keep every digit and do not depend on the order in which rows arrive.
 
 A plain ``SUM`` over doubles gives another last digit whenever partitions are read, merged or retried
 in another order, and at billions of rows the drift reaches the cents. A decimal sum is exact but
 converts every value through its printed form, about ten times the cost of the double sum. Here each
-value is split into two BIGINT lanes, whole units and millionths, which Spark adds exactly inside
-generated code. The result is a small struct that can be aggregated again, so totals of totals stay
-exact too.
+value is split into integer lanes that Spark adds exactly inside generated code:
 
-Lane ``rest`` takes the values without useful digits after the point: NaN, infinity and magnitudes
-from 10**12. The BIGINT lanes have room for nine million million rows per group, and an overflow
-would raise an error rather than wrap.
+* ``high`` and ``low``: the whole part, in units of 2**20 and of 1;
+* ``micro``: millionths. A value that is the nearest double to a number of six decimals, such as an
+  amount in cents, counts as exactly that number;
+* ``fine`` and ``finer``: what other values have below, in units of 2**-40 and 2**-60.
 
-All functions take the name of a column.
+Every lane entry has about 20 bits, so that a group has room for 2**43 rows. Two more lanes take what
+does not fit: ``large`` the values from 2**40 on as decimals of six places (such a double has no more),
+and ``rest`` what lies below 2**-60, NaN, infinity and magnitudes from 1e20, as a plain double sum. Only
+these last can depend on the order of rows, all others give one total.
+
+The result is a small struct that can be aggregated again, so totals of totals stay exact too. All
+functions take the name of a column.
 """
 
 from __future__ import annotations
@@ -19,20 +24,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+LANES = ("high", "low", "micro", "fine", "finer", "large", "rest", "n")
+
+_UNIT = 2**20
+# Beyond this, two whole sums of it would no longer fit into a decimal.
+_LARGEST = "1e20D"
+
 
 def amount_sum(column: str, over: str | None = None) -> Column:
-    """Exact partial sum of ``column`` as struct ``(whole, micro, rest, n)``; nulls are skipped.
+    """Exact partial sum of ``column`` as a struct of :data:`LANES`; nulls are skipped.
 
-    An aggregate, or a window expression if ``over`` gives a window in SQL. Values count to six
-    decimals. Read it with :func:`amount_total` and :func:`amount_mean`.
+    An aggregate, or a window expression if ``over`` gives a window in SQL. Read it with
+    :func:`amount_total` and :func:`amount_mean`.
     """
     amount = f"CAST(`{column}` AS DOUBLE)"
-    exact = f"ABS({amount}) < 1e12D"
-    micro = f"FLOOR(({amount} - FLOOR({amount})) * 1e6D + 0.5D)"
+    split = f"ABS({amount}) < {2.0**40!r}D"
+    # Zero where another lane takes the value: shared parts are computed for every row.
+    own = f"IF({split}, {amount}, 0D)"
+    whole = f"CAST({own} AS BIGINT)"
+    part = f"({own} - {whole})"
+    micro = f"CAST(FLOOR(ABS({part}) * 1e6D + 0.5D) * SIGN({part}) AS BIGINT)"
+    # What six decimals leave, unless it is below the value's own precision.
+    left = f"({part} - {micro} / 1e6D)"
+    left = f"IF(ABS({left}) <= ABS({own}) * {2.0**-52!r}D, 0D, {left})"
+    fine = f"CAST({left} * {2.0**40!r}D AS BIGINT)"
+    finer = f"CAST(({left} * {2.0**40!r}D - {fine}) * {2.0**20!r}D AS BIGINT)"
+    below = f"({left} - {fine} * {2.0**-40!r}D - {finer} * {2.0**-60!r}D)"
+    fits = f"ABS({amount}) < {_LARGEST}"
     lanes = {
-        "whole": f"SUM(CASE WHEN {exact} THEN FLOOR({amount}) END)",
-        "micro": f"SUM(CASE WHEN {exact} THEN {micro} END)",
-        "rest": f"SUM(CASE WHEN NOT {exact} THEN {amount} END)",
+        "high": f"SUM({whole} DIV {_UNIT})",
+        "low": f"SUM({whole} % {_UNIT})",
+        "micro": f"SUM({micro})",
+        "fine": f"SUM({fine})",
+        "finer": f"SUM({finer})",
+        "large": f"SUM(IF({split} OR NOT {fits}, NULL, CAST(IF({fits}, {amount}, 0D) AS DECIMAL(28, 6))))",
+        "rest": f"SUM(IF({fits}, {below}, {amount}))",
         "n": f"COUNT({amount})",
     }
     window = f" OVER ({over})" if over else ""
@@ -41,9 +67,8 @@ def amount_sum(column: str, over: str | None = None) -> Column:
 
 def amount_merge(column: str, times: str = "1") -> Column:
     """Aggregate partial sums into one, counting each as often as the SQL value ``times`` says."""
-    return _struct(
-        {lane: f"SUM(`{column}`.{lane} * {times})" for lane in ("whole", "micro", "rest", "n")}
-    )
+    carried = _carried(f"`{column}`")
+    return _struct({lane: f"SUM({carried[lane]} * {times})" for lane in LANES})
 
 
 def amount_total(column: str) -> Column:
@@ -56,12 +81,32 @@ def amount_mean(column: str) -> Column:
     return F.expr(f"TRY_DIVIDE({_total(column)}, `{column}`.n)")
 
 
+def _carried(s: str) -> dict[str, str]:
+    """The lanes of a sum with what fills a higher unit moved there, so that they stay small."""
+    lane = {name: f"COALESCE({s}.{name}, 0)" for name in LANES}
+    finer, fine = lane["finer"], f"({lane['fine']} + {lane['finer']} DIV {_UNIT})"
+    low = f"({lane['low']} + {lane['micro']} DIV 1000000)"
+    return {
+        "high": f"({lane['high']} + {low} DIV {_UNIT})",
+        "low": f"({low} % {_UNIT})",
+        "micro": f"({lane['micro']} % 1000000)",
+        "fine": fine,
+        "finer": f"({finer} % {_UNIT})",
+        "large": f"{s}.large",
+        "rest": f"{s}.rest",
+        "n": f"{s}.n",
+    }
+
+
 def _total(column: str) -> str:
-    whole, micro = (f"CAST(`{column}`.{lane} AS DECIMAL(20, 0))" for lane in ("whole", "micro"))
-    fixed = f"CAST({whole} + {micro} * 0.000001BD AS DOUBLE)"
+    s = _carried(f"`{column}`")
+    whole = f"CAST({s['high']} AS DECIMAL(19, 0)) * {_UNIT} + {s['low']}"
+    fixed = f"CAST({whole} AS DECIMAL(32, 6)) + {s['micro']} * 0.000001BD"
+    fixed = f"CAST(CAST({fixed} AS DECIMAL(38, 6)) + COALESCE({s['large']}, 0BD) AS DOUBLE)"
+    small = f"({s['fine']} * {2.0**-40!r}D + {s['finer']} * {2.0**-60!r}D)"
     return (
         f"CASE WHEN `{column}`.n > 0 "
-        f"THEN COALESCE({fixed}, 0D) + COALESCE(`{column}`.rest, 0D) END"
+        f"THEN {fixed} + ({small} + COALESCE({s['rest']}, 0D)) END"
     )
 
 

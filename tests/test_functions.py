@@ -64,12 +64,55 @@ def test_sum_skips_nulls_and_is_null_without_values(spark):
 
 @pytest.mark.parametrize(
     ("values", "expected"),
-    [([1.0, INF], INF), ([1.0, -INF], -INF), ([5.0, 1e18], 1e18 + 5.0), ([1e300, 1.0], 1e300)],
+    [
+        ([1.0, INF], INF),
+        ([1.0, -INF], -INF),
+        ([5.0, 1e18], 1e18 + 5.0),
+        ([1e300, 1.0], 1e300),
+        ([1e19, -1e19, 0.25], 0.25),
+        ([1e-30, 1e-30], 2e-30),
+    ],
 )
 def test_values_beyond_the_exact_range_still_count(spark, values, expected):
     assert total_and_mean(numbers(spark, values))[0] == expected
 
 
+@pytest.mark.parametrize(
+    ("value", "rows", "expected"),
+    [
+        ("9e11D", 20_000_000, 1.8e19),
+        ("-9e11D", 20_000_000, -1.8e19),
+        ("4e-7D", 1_000_000, 0.4),
+        ("0.0000015D", 1_000_000, 1.5),
+        ("-0.0000015D", 1_000_000, -1.5),
+        ("3e12D", 20_000_000, 6e19),
+        ("1e-12D", 1_000_000, 1e-6),
+        ("0.1D", 1_000_000, 100_000.0),
+    ],
+)
+def test_many_rows_lose_no_digit_and_do_not_overflow(spark, value, rows, expected):
+    df = spark.range(0, rows, 1, 4).select(F.expr(value).alias("x"))
+    total, mean = total_and_mean(df)
+    assert total == pytest.approx(expected, rel=1e-14)
+    assert mean == pytest.approx(expected / rows, rel=1e-14)
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1.0, 1e6, 1e12, 1e17])
+def test_one_total_however_rows_are_spread(spark, scale):
+    values = [random.Random(5).uniform(-1, 3) * scale for _ in range(4000)]
+    totals = {total_and_mean(numbers(spark, values, parts))[0] for parts in (1, 3, 7)}
+    assert len(totals) == 1
+    assert totals.pop() == pytest.approx(math.fsum(values), rel=1e-13)
+
+
+def test_merging_with_large_weights_does_not_overflow(spark):
+    df = spark.createDataFrame([(1, 123456.789)] * 50, "g int, x double")
+    parts = df.groupBy("g").agg(amount_sum("x").alias("part"))
+    merged = parts.agg(amount_merge("part", times="1000000000000L").alias("s"))
+    total = only_row(merged.select(amount_total("s").alias("t")))["t"]
+    assert total == pytest.approx(50 * 123456.789e12, rel=1e-15)
+
+
 def test_nan_and_opposite_infinities_give_nan(spark):
     assert math.isnan(total_and_mean(numbers(spark, [1.0, NAN]))[0])
     assert math.isnan(total_and_mean(numbers(spark, [INF, -INF]))[0])
