@@ -1,6 +1,7 @@
 """Column expressions shared by the operators: exact sums, guarded ratios and rounding."""
 
 from marketfold.functions.amounts import amount_mean, amount_merge, amount_sum, amount_total
+from marketfold.functions.names import free_names
 from marketfold.functions.ratios import percent, ratio, round_each
 
 __all__ = [
@@ -8,6 +9,7 @@ __all__ = [
     "amount_merge",
     "amount_sum",
     "amount_total",
+    "free_names",
     "percent",
     "ratio",
     "round_each",

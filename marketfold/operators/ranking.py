@@ -4,80 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows one task ranks a whole group; beyond it the group is split by value.
-ONE_TASK_ROWS = 1_000_000
+from marketfold.functions import free_names
+from marketfold.operators.staging import stage
 
-# Value slices per power of two. Even a double's full range gives a bounded number of slices
-# (about eight million), and some 200,000 below 10**15.
-SLICES_PER_OCTAVE = 4096
+# monotonically_increasing_id counts a partition's rows in its lower bits.
+_ROW_BITS = 33
 
 
-def add_dense_rank(
-    staged: DataFrame,
-    name: str,
-    by: str,
-    within: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """Append the dense rank of numeric ``by``, highest first and nulls last.
+def add_dense_rank(staged: DataFrame, name: str, by: str, within: Sequence[str] = ()) -> DataFrame:
+    """Append the dense rank of ``by``, highest first and nulls last.
 
     Ranks run over all rows, or inside each group of ``within`` (a NULL key is a group). ``staged`` is
-    read more than once, so it should be a staged or otherwise cheap relation. The largest group is
-    counted first: a plain window ranks it if it is small enough for one task.
-    """
-    groups = staged.groupBy(*within).agg(F.count("*").alias("rows"))
-    largest = groups.agg(F.max("rows")).first()[0] or 0
-    if largest <= one_task_rows:
-        window = Window.partitionBy(*within).orderBy(F.desc(by))
-        return staged.withColumn(name, F.dense_rank().over(window))
-    return _rank_by_slices(staged, name, by, list(within))
-
+    read twice, so it should be a staged or otherwise cheap relation.
 
-def _rank_by_slices(staged: DataFrame, name: str, by: str, within: list[str]) -> DataFrame:
-    """Dense rank without a task that sees a whole group.
+    No task sees a whole group. The distinct values are range-partitioned by group and value, with
+    boundaries that Spark takes from the data, and numbered inside each partition; the rows of the
+    partitions before are added, and the number of the group's first value taken off. The
+    numbered values are staged, so that a retried task finds the same partitions. Equal values are
+    one before anything is ordered, so a value that many rows share cannot fill a task.
 
-    The rank of a value is its place inside its slice plus the number of distinct values in higher
-    slices. Equal values are collapsed before anything is ordered, so a value that many rows share
-    cannot fill a task. The slice is a fixed function of the value, which keeps a retried task
-    consistent with the others.
+    Runs jobs when called.
     """
-    values = staged.select(*within, by).distinct().withColumn("_slice", _slice(F.col(by)))
-    slice_keys = [*within, "_slice"]
-
-    inside = Window.partitionBy(*slice_keys).orderBy(F.desc(by))
-    places = values.withColumn("_place", F.row_number().over(inside))
-
-    higher = (
-        Window.partitionBy(*within)
-        .orderBy(F.desc("_slice"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*within, by]
+    at, part, index, first = free_names(staged, "_at", "_part", "_index", "_first")
+    order = [F.col(key).asc_nulls_first() for key in within] + [F.col(by).desc_nulls_last()]
+    values = staged.select(*keys).distinct()
+    numbered = stage(
+        values.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn(at, F.monotonically_increasing_id())
     )
-    above = (
-        values.groupBy(*slice_keys)
-        .agg(F.count("*").alias("_values"))
-        .withColumn("_above", F.coalesce(F.sum("_values").over(higher), F.lit(0)))
+    numbered = numbered.select(
+        *keys,
+        F.shiftright(at, _ROW_BITS).alias(part),
+        F.col(at).bitwiseAND(2**_ROW_BITS - 1).alias(at),
     )
-
-    ranks = _join_null_safe(places, above.drop("_values"), slice_keys).select(
-        *within, by, (F.col("_place") + F.col("_above")).cast("int").alias(name)
+    # A row for each partition, few enough for one ordered window and for every task.
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy(part).agg(F.count("*").alias(index))
+    offsets = offsets.select(part, F.coalesce(F.sum(index).over(before), F.lit(0)).alias(index))
+    numbered = numbered.join(F.broadcast(offsets), part).select(
+        *keys, (F.col(index) + F.col(at)).alias(index)
     )
-    return _join_null_safe(staged, ranks, [*within, by])
-
-
-def _slice(value: Column) -> Column:
-    """A number that never falls as ``value`` grows; NaN goes to the top, as in Spark's ordering."""
-    number = value.cast("double")
-    size = F.floor(F.log2(F.abs(number) + 1) * SLICES_PER_OCTAVE)
-    return F.when(F.isnan(number), F.lit(2**63 - 1)).when(number < 0, -size).otherwise(size)
+    rank = F.col(index) + 1
+    if within:
+        firsts = stage(numbered.groupBy(*within).agg(F.min(index).alias(first)))
+        numbered = _join_null_safe(numbered, firsts, list(within))
+        rank = rank - F.col(first)
+    ranks = numbered.select(*keys, rank.cast("int").alias(name))
+    return _join_null_safe(staged, ranks, keys)
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys`` with NULL equal to NULL; keeps the left side's keys."""
-    renamed = right.withColumnsRenamed({key: f"_{key}_right" for key in keys})
+    names = free_names(left, *[f"_{key}_right" for key in keys])
+    renamed = right.withColumnsRenamed(dict(zip(keys, names, strict=True)))
     condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(renamed[f"_{key}_right"])
-    return left.join(renamed, condition).drop(*[f"_{key}_right" for key in keys])
+    for key, other in zip(keys, names, strict=True):
+        condition = condition & left[key].eqNullSafe(renamed[other])
+    return left.join(renamed, condition).drop(*names)

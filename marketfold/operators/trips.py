@@ -17,6 +17,7 @@ from marketfold.functions import (
     amount_merge,
     amount_sum,
     amount_total,
+    free_names,
     percent,
     ratio,
     round_each,
@@ -67,26 +68,27 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
     if there is none. The tip percentage is 0 without a positive fare, NULL without a known tip.
     """
     # The helper columns are used several times each, so they are computed in a step of their own.
+    minutes, tip, mph = free_names(df, "_minutes", "_tip", "_mph")
     timed = df.withColumns(
         {
-            "_minutes": F.expr(
+            minutes: F.expr(
                 "(unix_timestamp(tpep_dropoff_datetime) - unix_timestamp(tpep_pickup_datetime))"
                 " / 60D"
             ),
-            "_tip": F.expr("TRY_DIVIDE(tip_amount, fare_amount) * 100D"),
+            tip: F.expr("TRY_DIVIDE(tip_amount, fare_amount) * 100D"),
         }
-    ).withColumn("_mph", F.expr("TRY_DIVIDE(trip_distance, _minutes / 60D)"))
+    ).withColumn(mph, F.expr(f"TRY_DIVIDE(trip_distance, {minutes} / 60D)"))
     weekdays = F.array(*[F.lit(day) for day in WEEKDAYS])
     return timed.withColumns(
         {
-            "trip_duration_minutes": round_each("_minutes", 2),
-            "speed_mph": F.when(F.col("_minutes") > 0, round_each("_mph", 2)),
-            "tip_pct": F.when(F.col("fare_amount") > 0, round_each("_tip", 2)).otherwise(0.0),
+            "trip_duration_minutes": round_each(minutes, 2),
+            "speed_mph": F.when(F.col(minutes) > 0, round_each(mph, 2)),
+            "tip_pct": F.when(F.col("fare_amount") > 0, round_each(tip, 2)).otherwise(0.0),
             "pickup_date": F.to_date("tpep_pickup_datetime"),
             "pickup_hour": F.hour("tpep_pickup_datetime"),
             "day_of_week": F.element_at(weekdays, F.expr("WEEKDAY(tpep_pickup_datetime) + 1")),
         }
-    ).drop("_minutes", "_tip", "_mph")
+    ).drop(minutes, tip, mph)
 
 
 def compute_hourly_revenue(df: DataFrame) -> DataFrame:
@@ -115,10 +117,11 @@ def add_rolling_revenue(df: DataFrame) -> DataFrame:
     """
     last_days = f"""PARTITION BY pickup_zip ORDER BY UNIX_DATE(pickup_date)
         RANGE BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW"""
+    (week,) = free_names(df, "_week")
     return (
-        df.withColumn("_week", amount_sum("total_revenue", over=last_days))
-        .withColumn("rolling_7d_avg_revenue", F.round(amount_mean("_week"), 2))
-        .drop("_week")
+        df.withColumn(week, amount_sum("total_revenue", over=last_days))
+        .withColumn("rolling_7d_avg_revenue", F.round(amount_mean(week), 2))
+        .drop(week)
     )
 
 

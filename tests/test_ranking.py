@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of
+from marketfold.operators import ranking
 from marketfold.operators.ranking import add_dense_rank
 
 NAN, INF = float("nan"), float("inf")
@@ -27,9 +28,9 @@ def brute_force(rows):
     return sorted(ranked)
 
 
-def ranks(spark, rows, within, one_task_rows):
+def ranks(spark, rows, within):
     df = spark.createDataFrame(rows, "key long, grp string, value double").repartition(3)
-    ranked = add_dense_rank(df, "place", by="value", within=within, one_task_rows=one_task_rows)
+    ranked = add_dense_rank(df, "place", by="value", within=within)
     assert ranked.columns == ["key", "grp", "value", "place"]
     assert dict(ranked.dtypes)["place"] == "int"
     return sorted((r["key"], r["place"]) for r in ranked.collect())
@@ -44,28 +45,49 @@ def mixed_rows():
     return [(k, pick.choice(["a", "b", None]), v) for k, v in enumerate(values)]
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1_000_000])
-def test_global_rank(spark, one_task_rows):
+def test_global_rank(spark):
     rows = [(k, "all", v) for k, _, v in mixed_rows()]
-    assert ranks(spark, rows, [], one_task_rows) == brute_force(rows)
+    assert ranks(spark, rows, []) == brute_force(rows)
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1_000_000])
-def test_rank_within_groups_including_null(spark, one_task_rows):
+def test_rank_within_groups_including_null(spark):
     rows = mixed_rows()
-    assert ranks(spark, rows, ["grp"], one_task_rows) == brute_force(rows)
+    assert ranks(spark, rows, ["grp"]) == brute_force(rows)
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1_000_000])
-def test_no_rows(spark, one_task_rows):
-    assert ranks(spark, [], [], one_task_rows) == []
+def test_no_rows(spark):
+    assert ranks(spark, [], []) == []
 
 
 def test_integer_values(spark):
     df = spark.createDataFrame([(1, 7), (2, 9), (3, 7), (4, 1)], "key long, n long")
-    for limit in (0, 100):
-        ranked = add_dense_rank(df, "place", by="n", one_task_rows=limit)
-        assert {r["key"]: r["place"] for r in ranked.collect()} == {1: 2, 2: 1, 3: 2, 4: 3}
+    ranked = add_dense_rank(df, "place", by="n")
+    assert {r["key"]: r["place"] for r in ranked.collect()} == {1: 2, 2: 1, 3: 2, 4: 3}
+
+
+def test_helper_names_of_the_caller_survive(spark):
+    df = spark.createDataFrame([(1, 7, "x"), (2, 9, "y")], "_at long, n long, _n_right string")
+    ranked = add_dense_rank(df, "place", by="n")
+    assert sorted(map(tuple, ranked.collect())) == [(1, 7, "x", 2), (2, 9, "y", 1)]
+
+
+@pytest.mark.parametrize("value", ["1e9D + 0.01D * id", "1e-10D * id", "1e12D + 100 * id"])
+def test_close_values_are_spread_over_all_tasks(spark, value):
+    rows = spark.range(1_000_000).select(F.expr(value).alias("value"))
+    staged, stage = [], ranking.stage
+
+    def kept(df):
+        staged.append(stage(df))
+        return staged[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ranking, "stage", kept)
+        ranked = add_dense_rank(rows, "place", by="value")
+    sizes = [r["count"] for r in staged[0].groupBy(F.spark_partition_id()).count().collect()]
+    distinct = rows.distinct().count()
+    assert len(sizes) >= 4
+    assert max(sizes) < 0.5 * distinct
+    assert ranked.agg(F.max("place")).first()[0] == distinct
 
 
 def test_a_value_shared_by_a_third_of_the_rows_is_split(spark):
@@ -83,7 +105,7 @@ def test_a_value_shared_by_a_third_of_the_rows_is_split(spark):
         rows = spark.range(300_000).selectExpr(
             "uuid() AS id", "IF(id % 3 = 0, 0.5D, CAST(id AS DOUBLE)) AS value"
         )
-        ranked = add_dense_rank(rows, "place", by="value", one_task_rows=0)
+        ranked = add_dense_rank(rows, "place", by="value")
         total = ranked.agg(F.count("id"), F.max("place"), F.max(F.length("id")))
         assert [tuple(row) for row in total.collect()] == [(300_000, 200_001, 36)]
         assert "skewed" in plan_of(total)
