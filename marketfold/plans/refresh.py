@@ -48,10 +48,11 @@ def run_pipeline(
         F.count_if(trips.is_plausible_trip()).alias("clean"),
     )
     enriched = trips.add_derived_columns(trips.clean_trips(raw))
-    tables.overwrite_table(enriched, names["trips_enriched"])
+    places = {name: tables.location_of(spark, catalog, schema, name) for name in names}
+    tables.overwrite_table(enriched, names["trips_enriched"], places["trips_enriched"])
 
     for name, report in summarise_trips(spark.read.table(names["trips_enriched"])).items():
-        tables.overwrite_table(report, names[name])
+        tables.overwrite_table(report, names[name], places[name])
 
     counts = seen.get
     rows = {"trips_enriched": counts["clean"]}
@@ -120,5 +121,5 @@ def _replace(spark: SparkSession, report: DataFrame, catalog: str, schema: str,
     tables.prepare_schema(spark, catalog, schema)
     tables.use_schema(spark, schema)
     target = tables.table_name(catalog, schema, name)
-    tables.overwrite_table(report, target)
+    tables.overwrite_table(report, target, tables.location_of(spark, catalog, schema, name))
     return tables.count_rows(spark, target)

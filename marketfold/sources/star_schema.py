@@ -29,7 +29,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "events").selectExpr(
         "ts AS tpep_pickup_datetime",
         "timestampadd(MINUTE, CAST(event_id % 121 - 5 AS INT), ts) AS tpep_dropoff_datetime",
-        "CAST(event_id * 7 % 1100 AS DOUBLE) / 10 AS trip_distance",
+        "CAST(event_id * 7 % 1100 AS DOUBLE) / 7 AS trip_distance",
         "CAST(CAST(value AS DECIMAL(18,2)) * 2 AS DOUBLE) AS fare_amount",
         """CASE event_type WHEN 'error' THEN NULL
              WHEN 'purchase' THEN CAST(CAST(value AS DECIMAL(18,2)) / 4 AS DOUBLE)

@@ -55,9 +55,20 @@ def use_schema(spark: SparkSession, schema: str) -> None:
     spark.catalog.setCurrentDatabase(schema)
 
 
-def overwrite_table(df: DataFrame, name: str) -> None:
-    """Replace table ``name`` with ``df``; running it again gives the same table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def overwrite_table(df: DataFrame, name: str, location: str | None = None) -> None:
+    """Replace table ``name`` with ``df``; running it again gives the same table.
+
+    With a ``location``, files there are replaced too that this catalog does not know of, such as
+    those of an earlier session.
+    """
+    writer = df.write.mode("overwrite")
+    (writer if location is None else writer.option("path", location)).saveAsTable(name)
+
+
+def location_of(spark: SparkSession, catalog: str, schema: str, name: str) -> str:
+    """Where table ``name`` lies by default: in its schema's folder."""
+    folder = spark.catalog.getDatabase(table_name(catalog, schema)).locationUri
+    return f"{folder.rstrip('/')}/{name.lower()}"
 
 
 def count_rows(spark: SparkSession, name: str) -> int:
