@@ -11,7 +11,12 @@ def stage(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and keep it as a checkpoint in the shared folder.
 
     Meant for aggregated rows that a query needs more than once. The source is scanned a single time,
-    and a lost executor costs no recomputation because the copy is on shared storage.
+    and a lost executor costs no recomputation because the copy is on shared storage. Runs a job when
+    called.
+
+    Spark deletes the copy once nothing refers to it, if the session was started with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``, as :func:`marketfold.session.build_session`
+    does. It cannot be turned on later; elsewhere the folder has to be emptied with the run.
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

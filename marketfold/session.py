@@ -48,8 +48,9 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate results, as named in ``spark.checkpoint.dir``.
+    """The shared folder for intermediate results that the session uses.
 
+    It is the context's own, below the folder in ``spark.checkpoint.dir`` unless the caller set another.
     Only a local session may go without the setting: it gets a temporary folder. On a cluster that
     folder would be private to one machine, so the setting is required there.
     """
@@ -61,4 +62,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(configured)
-    return configured or context.getCheckpointDir()
+    return context.getCheckpointDir()

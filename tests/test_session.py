@@ -16,7 +16,8 @@ def test_settings_follow_the_input_size():
 
 
 def test_checkpoint_folder_comes_from_the_session(spark, scratch):
-    assert session.checkpoint_dir(spark) == str(scratch / "checkpoints")
+    assert str(scratch / "checkpoints") in session.checkpoint_dir(spark)
+    assert session.checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
@@ -58,7 +59,8 @@ def test_a_local_session_falls_back_to_a_temporary_folder():
     assert session.checkpoint_dir(fake) == chosen[0]
 
 
-def test_a_folder_set_by_the_caller_is_kept():
-    fake, chosen = fake_session("yarn", None, current="hdfs:///mine/run-1")
+@pytest.mark.parametrize("configured", [None, "hdfs:///other"])
+def test_a_folder_set_by_the_caller_is_kept(configured):
+    fake, chosen = fake_session("yarn", configured, current="hdfs:///mine/run-1")
     assert session.checkpoint_dir(fake) == "hdfs:///mine/run-1"
     assert chosen == []
