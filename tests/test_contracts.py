@@ -141,7 +141,7 @@ def test_decimal_amounts_and_integer_zips(spark):
     )
     enriched = ops.add_derived_columns(ops.clean_trips(typed))
     assert [tuple(r) for r in ops.compute_pickup_zone_revenue(enriched).collect()] == [
-        (10001, 2, 40.5, 15.0, 5.0, 30.0, 20.0, 0.0494)
+        (20815, 2, 55.0, 24.0, 7.2, 27.0, 25.0, 0.0364)
     ]
     prices = TRANSACTION_SCHEMA.replace("totalPrice double", "totalPrice decimal(12,2)")
     sales = spark.createDataFrame([], prices).union(
