@@ -15,6 +15,7 @@ from marketfold.functions import (
     amount_merge,
     amount_sum,
     amount_total,
+    free_names,
     percent,
     ratio,
     round_each,
@@ -165,3 +166,8 @@ def test_ratio_and_percent_are_null_for_a_zero_denominator(spark):
         ratio(F.col("a"), F.col("b"), 2).alias("r"), percent(F.col("a"), F.col("b"), 1).alias("p")
     ).collect()
     assert [tuple(r) for r in rows] == [(None, None), (0.13, 12.5), (None, None)]
+
+
+def test_free_names_are_not_in_the_table(spark):
+    df = spark.createDataFrame([(1, 2)], "_x int, _X_ int")
+    assert free_names(df, "_x", "_y", "_y") == ["_x__", "_y", "_y_"]
