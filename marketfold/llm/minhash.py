@@ -3,21 +3,23 @@
 Documents with equal shingle sets are one class. Every class has a MinHash signature of
 ``coordinates`` places and is posted under its (coordinate, value) pairs. A pair of classes that
 agrees in ``matches`` of them meets in one of the first ``coordinates - matches + 1``, the prefix, and
-only those are posted. Of each further coordinate up to ``bits`` the signature keeps one bit; a pair
-is skipped if more of these differ than ``different``. What is left is confirmed on the full
-shingle sets.
+only those are posted. It is taken from the list of its first common coordinate and skipped in all
+others. Of each further coordinate up to ``bits`` the signature keeps one bit; a pair is skipped if
+more of these differ than ``different``. What is left is confirmed on the full shingle sets.
 
 Three things keep lists short and leave nothing out:
 
 * In a list that is crowded with look-alikes, all members are compared with the smallest one first,
   which joins most of a large group of near copies. Connected pairs need no comparison.
 * A shingle that no other member of crowded lists has cannot be common to a pair from such a list. A pair
-  is skipped if what is left of its sets is too small.
+  is skipped if what is left of its sets is too small. It is also skipped if too many bits of a longer
+  sketch differ, which only members of such lists have.
 * Members of a long list that is not crowded are posted again under pairs of coordinates, then triples and so
   on: a pair that agrees in ``matches`` places meets at each of these depths.
 
-At a similarity of 0.8 a pair is missed with a chance of 5e-7: half of it for fewer than 4 of 16
-equal coordinates, where lists go that deep, half for more than 52 of 256 different bits.
+At a similarity of 0.8 a pair is missed with a chance of 8e-7: a third each for fewer than 4
+of 16 equal coordinates, where lists go that deep, for more than 52 of 256 different bits, and for
+more than 276 of 2048, in crowded lists.
 
 Texts without words have an empty set, are linked with nothing and are their own component. Repeated
 rows and rows that share an id belong together. A null id cannot be named as a component: such a row
@@ -51,6 +53,8 @@ class Likeness:
     matches: int = 4
     bits: int = 256
     different: int = 52
+    crowd_bits: int = 2048
+    crowd_different: int = 276
     # A list with more members that look like its smallest one is crowded.
     crowd: int = 24
     # Any other list with more members outside its largest component is posted again, one deeper.
@@ -68,7 +72,7 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     signed = staged(
         texts.mapInArrow(
-            functools.partial(_sign, like=like), "id long, n int, digest binary, sig array<int>, bits array<long>"
+            functools.partial(_sign, like=like), "id long, n int, digest binary, sig array<long>, bits array<long>"
         )
     )
     classes = signed.filter("n > 0 AND id IS NOT NULL").groupBy("digest")
@@ -107,9 +111,7 @@ def near_duplicates(
 def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """Confirmed links (a, b) between classes that connect all near duplicates."""
     prefix = like.coordinates - like.matches + 1
-    posted = nodes.select(
-        "node", F.posexplode(F.slice("sig", 1, prefix)).alias("place", "value")
-    ).select("node", "place", F.xxhash64("place", "value").alias("key"))
+    posted = nodes.select("node", F.explode(F.slice("sig", 1, prefix)).alias("key"))
     repeated = staged(
         posted.groupBy("key")
         .agg(F.count("*").alias("size"), F.min("node").alias("hub"))
@@ -119,9 +121,10 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     crowd, starred = _crowded(lists, nodes, texts, like)
     joined = staged(smallest_reachable(starred))
 
-    members = lists.select("key", "place", "node").join(joined, "node", "left")
+    place = F.shiftright("key", 32).cast("int").alias("place")
+    members = lists.select("key", place, "node").join(joined, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
-    members = members.join(crowd.keys, "key", "left").join(crowd.alone, "node", "left")
+    members = members.join(crowd.keys, "key", "left").join(crowd.members, "node", "left")
     members = members.select(
         "key",
         "place",
@@ -129,6 +132,7 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
         "component",
         F.coalesce("crowded", F.lit(False)).alias("crowded"),
         F.when(F.col("crowded"), F.col("alone")).alias("alone"),
+        F.when(F.col("crowded"), F.col("longer")).alias("longer"),
     ).fillna(0, "alone")
     found = None
     depth = 1
@@ -143,7 +147,7 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
         members = staged(members.join(shape, "key").join(nodes, "node"))
         short = F.col("crowded") | (F.col("others") <= like.long_list)
         short = short | F.lit(depth == like.matches)
-        pairs = staged(_pairs_across(members.filter(short), like).distinct())
+        pairs = staged(_pairs_across(members.filter(short), depth, like))
         found = pairs if found is None else found.unionAll(pairs)
         long = members.filter(~short)
         if depth == like.matches or long.isEmpty():
@@ -155,11 +159,11 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Crowd:
-    """``keys``: (key, crowded) of the crowded lists. ``alone``: (node, alone), the number of shingles
-    that no other member of any of them has."""
+    """``keys``: (key, crowded) of the crowded lists. ``members``: (node, alone, longer), the number of
+    shingles that no other member of any of them has, and the longer sketch."""
 
     keys: DataFrame
-    alone: DataFrame
+    members: DataFrame
 
 
 def _crowded(
@@ -187,8 +191,12 @@ def _crowded(
         .groupBy("node")
         .agg(F.count("*").cast("int").alias("alone"))
     )
+    longer = sets.mapInArrow(
+        functools.partial(_longer, bits=like.crowd_bits), "node long, longer array<long>"
+    )
+    both = longer.join(alone, "node", "left").fillna(0, "alone")
     pairs = stars.join(keys, "key").select("a", "b").distinct()
-    return _Crowd(keys, staged(alone)), _confirm(pairs, sets, like)
+    return _Crowd(keys, staged(both)), _confirm(pairs, sets, like)
 
 
 def _deeper(long: DataFrame, depth: int, like: Likeness) -> DataFrame:
@@ -196,28 +204,33 @@ def _deeper(long: DataFrame, depth: int, like: Likeness) -> DataFrame:
     # The d-th of the required matches lies in the first ``coordinates - matches + d``.
     last = like.coordinates - like.matches + depth - 1
     following = F.slice("sig", F.col("place") + 2, F.lit(last) - F.col("place"))
-    again = long.filter(F.col("place") < last).select(
-        "node", "component", "key", "place", F.posexplode(following).alias("skip", "value")
-    )
-    posted = again.select(
-        "node", "component", "key", (F.col("place") + F.col("skip") + 1).alias("place"), "value"
-    ).select(
-        F.xxhash64("key", "place", "value").alias("key"),
-        "place",
-        "node",
-        "component",
-        F.lit(False).alias("crowded"),
-        F.lit(0).alias("alone"),
+    posted = (
+        long.filter(F.col("place") < last)
+        .select("node", "component", "key", F.explode(following).alias("next"))
+        .select(
+            F.xxhash64("key", "next").alias("key"),
+            F.shiftright("next", 32).cast("int").alias("place"),
+            "node",
+            "component",
+            F.lit(False).alias("crowded"),
+            F.lit(0).alias("alone"),
+            F.lit(None).cast("array<long>").alias("longer"),
+        )
     )
     posted = staged(posted)
     repeated = staged(posted.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
     return posted.join(repeated.select("key"), "key")
 
 
-def _pairs_across(members: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of a list between different components, one side outside the largest of them."""
+def _pairs_across(members: DataFrame, depth: int, like: Likeness) -> DataFrame:
+    """Pairs of a list between different components, one side outside the largest of them.
+
+    Only pairs whose common coordinates up to the list's own are those of the list, ``depth`` in number.
+    """
     words = [F.col("bits")[i].alias(f"w{i}") for i in range(like.bits // 64)]
-    wide = members.select("key", "node", "n", "component", "largest", "alone", *words)
+    wide = members.select(
+        "key", "place", "node", "n", "component", "largest", "alone", "sig", "longer", *words
+    )
     # Of its own shingles a near pair has that share at least in common.
     enough = (F.col("n") - F.col("alone")) * 100 >= F.col("n") * like.percent
     wide = wide.filter(enough)
@@ -227,6 +240,14 @@ def _pairs_across(members: DataFrame, like: Likeness) -> DataFrame:
     differ = [
         F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(like.bits // 64)
     ]
+    further = [
+        F.bit_count(F.col("longer_a")[i].bitwiseXOR(F.col("longer_b")[i]))
+        for i in range(like.crowd_bits // 64)
+    ]
+
+    def upto(side: str) -> Column:
+        return F.slice(F.col(f"sig_{side}"), F.lit(1), F.col("place_a") + 1)
+
     usable = F.least(F.expr("n_a - alone_a"), F.expr("n_b - alone_b"))
     condition = (
         (F.col("key_a") == F.col("key_b"))
@@ -236,6 +257,8 @@ def _pairs_across(members: DataFrame, like: Likeness) -> DataFrame:
         # Of both sets together, the common part of a near pair is percent / (100 + percent).
         & (usable * (100 + like.percent) >= (F.col("n_a") + F.col("n_b")) * like.percent)
         & (sum(differ[1:], differ[0]) <= like.different)
+        & (F.coalesce(sum(further[1:], further[0]), F.lit(0)) <= like.crowd_different)
+        & (F.size(F.array_intersect(upto("a"), upto("b"))) == depth)
     )
     return left.join(right, condition).select(
         F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
@@ -302,20 +325,34 @@ def _sign(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.Reco
     for batch in batches:
         sets = [shingle_set(text, like.words) for text in batch["text"].to_pylist()]
         least = [signature(each, like.bits) if len(each) else None for each in sets]
-        posted = [x if x is None else x[: like.coordinates].view(np.int32) for x in least]
+        posted = [x if x is None else _placed(x[: like.coordinates]) for x in least]
         bits = [x if x is None else sketch_bits(x) for x in least]
         yield pa.RecordBatch.from_arrays(
             [
                 batch["id"],
                 pa.array([len(each) for each in sets], pa.int32()),
                 pa.array([xxhash.xxh3_128_digest(each.tobytes()) for each in sets], pa.binary()),
-                pa.array(posted, pa.list_(pa.int32())),
+                pa.array(posted, pa.list_(pa.int64())),
                 pa.array(bits, pa.list_(pa.int64())),
             ],
             ["id", "n", "digest", "sig", "bits"],
         )
 
 
+def _placed(least: np.ndarray) -> np.ndarray:
+    """Values with their places in the upper half, so that no two places share one."""
+    return np.arange(len(least), dtype=np.int64) << 32 | least.astype(np.int64)
+
+
+def _longer(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = (np.frombuffer(each.as_py(), np.uint64) for each in batch["shingles"])
+        sketches = [sketch_bits(signature(each, bits)) for each in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch["id"], pa.array(sketches, pa.list_(pa.int64()))], ["node", "longer"]
+        )
+
+
 def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for node, shingles in zip(batch["id"].to_pylist(), batch["shingles"], strict=True):
