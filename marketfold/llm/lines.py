@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from marketfold.functions import free_names
 from marketfold.llm.common import staged, whole_text
 
 PASSAGE_WORDS = 25
@@ -137,26 +138,30 @@ def delete_repeated_lines(
 
     Documents that were empty before stay, and so does everything about documents that lose nothing.
     """
-    joined = with_spans(docs, id_col, text_col, passage_words, run_words)
-    lost = F.col("spans").isNotNull()
-    left = without_lines(F.when(lost, F.col(text_col)), F.when(lost, F.col("spans")))
-    cut = joined.withColumn("left_text", left)
-    kept = cut.filter(~lost | (F.trim(F.regexp_replace("left_text", r"\s+", " ")) != ""))
-    text = F.when(lost, F.col("left_text")).otherwise(F.col(text_col)).alias(text_col)
+    joined, spans = with_spans(docs, id_col, text_col, passage_words, run_words)
+    (left_text,) = free_names(joined, "left_text")
+    lost = F.col(spans).isNotNull()
+    left = without_lines(F.when(lost, F.col(text_col)), F.when(lost, F.col(spans)))
+    cut = joined.withColumn(left_text, left)
+    kept = cut.filter(~lost | F.col(left_text).rlike(r"\S"))
+    text = F.when(lost, F.col(left_text)).otherwise(F.col(text_col)).alias(text_col)
     return kept.select(*[text if name == text_col else F.col(f"`{name}`") for name in docs.columns])
 
 
 def with_spans(
-    docs: DataFrame, id_col: str, text_col: str, passage_words: int, run_words: int
-) -> DataFrame:
-    """``docs`` and ``spans``, null where nothing is to be deleted."""
-    for name in ("spans", "left_text", "lost_id", "lost_hash"):
-        if name in docs.columns:
-            raise ValueError(f"rename column {name!r}: it would be overwritten")
-    spans = repeated_lines(docs, id_col, text_col, passage_words, run_words)
-    spans = staged(spans).withColumnsRenamed({"id": "lost_id", "text_hash": "lost_hash"})
-    same = F.col(id_col).eqNullSafe(F.col("lost_id")) & (_text_hash(text_col) == F.col("lost_hash"))
-    return docs.join(spans.hint("shuffle_hash"), same, "left").drop("lost_id", "lost_hash")
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    passage_words: int = PASSAGE_WORDS,
+    run_words: int = RUN_WORDS,
+) -> tuple[DataFrame, str]:
+    """``docs`` with the spans to be deleted, null for none, and the name of that column."""
+    spans, lost_id, lost_hash = free_names(docs, "spans", "lost_id", "lost_hash")
+    found = staged(repeated_lines(docs, id_col, text_col, passage_words, run_words))
+    found = found.withColumnsRenamed({"id": lost_id, "text_hash": lost_hash, "spans": spans})
+    same = F.col(id_col).eqNullSafe(F.col(lost_id)) & (_text_hash(text_col) == F.col(lost_hash))
+    joined = docs.join(found.hint("shuffle_hash"), same, "left").drop(lost_id, lost_hash)
+    return joined, spans
 
 
 @F.pandas_udf(StringType())

@@ -108,9 +108,7 @@ def op6_transcripts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    marked = lines.with_spans(
-        documents(spark, folder), "doc_id", "text", lines.PASSAGE_WORDS, lines.RUN_WORDS
-    )
+    marked, _ = lines.with_spans(documents(spark, folder))
     lost = F.col("spans").isNotNull()
     left = lines.without_lines(F.when(lost, F.col("text")), F.when(lost, F.col("spans")))
     size = F.aggregate(
