@@ -70,7 +70,8 @@ def encode_documents(
     kind = docs.schema[id_col].dataType.simpleString()
     long = F.length("text") > leaf_chars
     short = texts.filter(~long).mapInArrow(
-        functools.partial(_encode_whole, path=tokenizer_path), f"id {kind}, ids binary, decoded string"
+        functools.partial(_encode_whole, path=tokenizer_path),
+        f"id {kind}, ids binary, decoded string",
     )
     leaves = (
         texts.filter(long)
@@ -85,7 +86,8 @@ def encode_documents(
         )
     )
     joined = leaves.groupBy("row").applyInArrow(
-        lambda table: _join_leaves(table, tokenizer_path), f"id {kind}, ids binary, decoded string"
+        lambda table: _join_leaves(table, tokenizer_path),
+        f"id {kind}, ids binary, decoded string",
     )
     return short.unionAll(joined).select(F.col("id").alias(id_col), "ids", "decoded")
 
@@ -122,7 +124,9 @@ def leaves_of(text: str, path: str, size: int) -> Iterator[tuple[int, str]]:
         last = None
         for last in PLAIN_CUT.finditer(text, start + size // 2, start + size):
             pass
-        if last is not None and specials is not None and specials.search(text[max(start, last.end() - 64) : last.end() + 64]):
+        # A special string may hold a plain cut.
+        around = text[max(start, last.end() - 64) : last.end() + 64] if last is not None else ""
+        if specials is not None and specials.search(around):
             last = None
         if last is not None:
             yield TEXT, text[start : last.end()]

@@ -139,7 +139,9 @@ def is_contaminated(n_words: str, n_hit: str) -> Column:
 
 def _prefixes(texts: DataFrame, windows: DataFrame, blocks: int) -> DataFrame:
     """(word, offset, passage, window, block): every window under its rarest word."""
-    placed = windows.select("window", F.col("words").alias("passage"), F.posexplode("words").alias("offset", "word"))
+    placed = windows.select(
+        "window", F.col("words").alias("passage"), F.posexplode("words").alias("offset", "word")
+    )
     vocabulary = staged(
         placed.select("word").distinct().withColumn("block", F.pmod(F.xxhash64("word"), F.lit(blocks)))
     )
@@ -176,7 +178,8 @@ def _occurrences(texts: DataFrame, prefixes: DataFrame) -> DataFrame:
     The words stay with the exploded place up to the comparison, inside one generated loop; only what
     is found leaves it.
     """
-    headed = texts.select("row", "id", "words", F.concat(F.array(F.lit(NO_WORD)), "words").alias("headed"))
+    with_head = F.concat(F.array(F.lit(NO_WORD)), "words")
+    headed = texts.select("row", "id", "words", with_head.alias("headed"))
     places = headed.select("row", "id", "words", F.posexplode("headed").alias("place", "word"))
     start = F.col("place") - F.col("offset")
     length = F.size("passage")

@@ -254,7 +254,10 @@ def _larger_sketches(first: DataFrame) -> DataFrame:
         level += 1
         bits = f"pmod(shiftrightunsigned(k, {3 * (level - 1)}), 8) = piece"
         split = failed.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(7)))).select(
-            "row", "pair", F.expr(f"filter(a, k -> {bits})").alias("a"), F.expr(f"filter(b, k -> {bits})").alias("b")
+            "row",
+            "pair",
+            F.expr(f"filter(a, k -> {bits})").alias("a"),
+            F.expr(f"filter(b, k -> {bits})").alias("b"),
         )
         difference = subtract_sql(cells_sql("a", level), cells_sql("b", level))
         tried = staged(split.withColumn("peeled", F.expr(peel_sql(difference, level))))
