@@ -18,10 +18,12 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
     """
     edges = staged(_ordered(links.select("a", "b")))
     while not _are_stars(edges):
-        larger = _star(edges.select("a", "b").union(edges.select("b", "a")), larger_only=True)
+        both_ways = edges.select("a", "b").union(edges.select("b", "a"))
+        larger = staged(_star(both_ways, larger_only=True))
         edges = staged(_ordered(_star(larger, larger_only=False)))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots).distinct()
+    leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return leaves.union(roots.distinct())
 
 
 def _ordered(links: DataFrame) -> DataFrame:
