@@ -1,7 +1,9 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup sketches.
 
-A text is a set of paragraph digests: its lines, cut once more where a sentence ends and the next one
-begins with a letter from A to E, so that the parts of a changed line still count. Every digest is added
+A text is a set of paragraph digests: its sentences, which end with a line or after a full stop, question
+or exclamation mark of any script. A sentence of more than ``LONG`` characters is cut once more after words
+chosen by the hash of the word and the one before it, so that a change costs only the pieces around it;
+scripts without blanks, and words of more than ``LONG_WORD`` characters, count by character. Every digest is added
 to three of ``CELLS`` cells, one in each third; a cell keeps the number, the exclusive or of the digests
 and of their check values. Subtracting the sketches of two versions leaves the digests in which they
 differ. Cells with one digest left give it away; taking it out of its other cells frees more (peeling).
@@ -32,7 +34,17 @@ ROUNDS = 16
 GROUP_ROWS = 1024
 MOST_GROUPS = 16_384
 
-PARAGRAPH_END = r"\n|(?<=[.!?]) (?=[A-E])"
+# Where sentences end, with or without a closing quote or bracket, and where words do.
+PARAGRAPH_END = (
+    r"\n|(?<=[.!?…؟۔।॥։።])[ \t\u00a0]+|(?<=[.!?…؟۔।॥։።][\"'”’»)\]])[ \t\u00a0]+|(?<=[。！？｡])"
+)
+WORD_END = (
+    r"(?<=[\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+)
+# Characters of a sentence and of a word that stay whole, and words a piece of a longer sentence has on average.
+LONG = 160
+LONG_WORD = 64
+PIECE_WORDS = 16
 
 _EMPTY = "named_struct('n', 0, 'k', 0L, 'h', 0)"
 
@@ -42,31 +54,68 @@ def _let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _places(key: str, salt: int) -> str:
-    """The three cells of a digest."""
-    return ", ".join(
-        f"'c{i}', {i * THIRD} + pmod(hash({key}, {i + 1}, {salt}), {THIRD})" for i in range(3)
+def _mask(key: str, salt: int) -> str:
+    """The three cells of a digest as bits of a number."""
+    bits = (
+        f"shiftleft(1L, {i * THIRD} + pmod(hash({key}, {i + 1}, {salt}), {THIRD}))" for i in range(3)
     )
+    return " | ".join(bits)
 
 
-def _here(entry: str, i: str) -> str:
-    return f"({entry}.c0 = {i} OR {entry}.c1 = {i} OR {entry}.c2 = {i})"
+def _cells_of(entries: str, start: str, step: int, cell: str) -> str:
+    """Array of the cells from ``start`` on, four times ``step`` of them; entries are dealt out by fours."""
+    bits = str((1 << step) - 1) + "L"
+    own = f"filter({entries}, e -> (shiftright(e.m, i{step}) & {bits}) <> 0L)"
+    inner = cell.format(own=own) if step == 1 else _let(own, f"own{step}", _cells_of(f"own{step}", f"i{step}", step // 4, cell))
+    each = f"transform(sequence({start}, {start} + {3 * step}, {step}), i{step} -> {inner})"
+    return each if step == 1 else f"flatten({each})"
 
 
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of the paragraphs that are not blank."""
     parts = F.filter(F.split(text, PARAGRAPH_END), lambda part: F.trim(part) != "")
-    return F.array_distinct(F.transform(parts, lambda part: F.xxhash64(part)))
+    digest = F.transform(
+        parts,
+        lambda part: F.when(
+            F.char_length(part) > LONG, F.transform(_pieces(part), lambda piece: F.xxhash64(piece))
+        ).otherwise(F.array(F.xxhash64(part))),
+    )
+    return F.array_distinct(F.flatten(digest))
+
+
+def _pieces(part: Column) -> Column:
+    """A long sentence cut by its content; it holds no line end, so that one can mark the cuts."""
+    words = F.flatten(
+        F.transform(
+            F.split(part, WORD_END),
+            lambda word: F.when(F.char_length(word) > LONG_WORD, F.split(word, "")).otherwise(F.array(word)),
+        )
+    )
+
+    def marked(all_words: Column) -> Column:
+        # No cut inside a run of one word: it would make pieces that are all alike.
+        def ends(word: Column, i: Column) -> Column:
+            before = F.get(all_words, i - 1)
+            return (before != word) & (F.pmod(F.hash(before, word), F.lit(PIECE_WORDS)) == 0)
+
+        return F.transform(
+            all_words, lambda word, i: F.when(ends(word, i), F.concat(word, F.lit("\n"))).otherwise(word)
+        )
+
+    joined = F.element_at(F.transform(F.array(words), lambda w: F.array_join(marked(w), "")), 1)
+    return F.filter(F.split(joined, "\n"), lambda piece: F.trim(piece) != "")
 
 
 def cells_sql(keys: str, salt: int = 0) -> str:
     """The sketch of an array of digests."""
     entries = (
-        f"transform({keys}, k -> named_struct('k', k, 'h', hash(k, 0, {salt}), {_places('k', salt)}))"
+        f"transform({keys}, k -> named_struct('k', k, 'h', hash(k, 0, {salt}), 'm', {_mask('k', salt)}))"
     )
     added = "named_struct('n', x.n + 1, 'k', x.k ^ e.k, 'h', x.h ^ e.h)"
-    cell = f"aggregate(filter(entries, e -> {_here('e', 'i')}), {_EMPTY}, (x, e) -> {added})"
-    return _let(entries, "entries", f"transform(sequence(0, {CELLS - 1}), i -> {cell})")
+    cell = f"aggregate({{own}}, {_EMPTY}, (x, e) -> {added})"
+    # An entry is in one cell of each third; it is looked for in four groups of four cells.
+    third = _cells_of("entries", "t", THIRD // 4, cell)
+    return _let(entries, "entries", f"flatten(transform(sequence(0, {CELLS - THIRD}, {THIRD}), t -> {third}))")
 
 
 def subtract_sql(a: str, b: str) -> str:
@@ -81,12 +130,12 @@ def peel_sql(cells: str, salt: int = 0) -> str:
     pure = (
         "array_distinct(transform("
         f"filter(state.cells, c -> abs(c.n) = 1 AND c.h = hash(c.k, 0, {salt})), "
-        f"c -> named_struct('k', c.k, 'h', c.h, 's', c.n, {_places('c.k', salt)})))"
+        f"c -> named_struct('k', c.k, 'h', c.h, 's', c.n, 'm', {_mask('c.k', salt)})))"
     )
     taken = "named_struct('n', x.n - e.s, 'k', x.k ^ e.k, 'h', x.h ^ e.h)"
     rest = (
         "transform(state.cells, (c, i) -> "
-        f"aggregate(filter(found, e -> {_here('e', 'i')}), c, (x, e) -> {taken}))"
+        f"aggregate(filter(found, e -> getbit(e.m, i) = 1), c, (x, e) -> {taken}))"
     )
     after = (
         f"named_struct('cells', {rest}, "

@@ -118,6 +118,35 @@ def test_fingerprints_of_one_row_null_ids_repeated_rows_and_nothing(docs):
     assert sketch.compare_with_edit(docs([])).collect() == []
 
 
+def test_likeness_follows_the_share_of_text_that_is_kept(docs):
+    pick = random.Random(5)
+
+    def words(low, high, size):
+        return ["".join(chr(pick.randint(low, high)) for _ in range(size)) for _ in range(240)]
+
+    def ended(words, mark, every, first="", blank=" "):
+        return blank.join(
+            f"{pick.choice(first) if first else ''}{w}{mark if i % every == every - 1 else ''}"
+            for i, w in enumerate(words)
+        )
+
+    kinds = [
+        lambda: ended(words(97, 122, 6), ".", 8, "FGHMTZ"),
+        lambda: ended(words(97, 122, 6), "!", 8, "ÉÖÜ"),
+        lambda: ended(words(0x430, 0x44F, 6), "?", 8),
+        lambda: ended(words(0x4E00, 0x9000, 6), "。", 4, blank=""),
+        lambda: " ".join(words(97, 122, 6)),  # no sentence ends at all
+        lambda: " ".join(words(0x5D0, 0x5EA, 6)),
+        lambda: "".join(words(0x4E00, 0x9000, 6)),
+        lambda: "".join(words(48, 122, 6)),  # one word
+    ]
+    # Each is followed by one of its kind; the first half of every text is kept, whatever its script.
+    texts = [kind() for kind in kinds for _ in range(2)]
+    for row in sketch.compare_with_edit(docs(list(enumerate(texts)))).collect():
+        if row.doc_id % 2 == 0:
+            assert 0.3 < row.near_edited < 0.7, row.doc_id
+
+
 # --- personal data ---------------------------------------------------------------------------------
 
 PATTERNS = (
