@@ -187,6 +187,27 @@ def test_base_spans_equal_the_patterns():
         assert pii.find(text)[0] == base_spans(text)
 
 
+@pytest.mark.parametrize("fill", [".", "-", " ", "(", ")"])
+def test_base_matches_of_any_length_count_their_digits(fill):
+    for text in (
+        f"+1 {fill * 190}5551234567",
+        f"call +1{fill * 5000}555{fill * 300}1234567 now",
+        f"+1{fill * 400}55",
+        "x 4111" + "0" * 300,
+    ):
+        assert pii.find(text)[0] == base_spans(text)
+    assert [k for k, *_ in pii.find(f"+1 {fill * 190}5551234567")[0]].count(3) == 1
+
+
+def test_candidates_are_whole_whatever_their_length_and_text():
+    key = "aB3/" * 100
+    assert (6, 4, 404) in [c[:3] for c in pii.find(f"key {key} end")[1]]
+    assert (6, 2, 137) in [c[:3] for c in pii.find("a=" + "q1" * 67 + "x")[1]]
+    plain = "password:correct-horse"
+    assert (6, 9, 22) in [c[:3] for c in pii.find(plain)[1]]
+    assert (6, 0, 20) in [c[:3] for c in pii.find("QwErTyUiOpAsDfGhJkLz and more")[1]]
+
+
 def test_very_long_runs_take_linear_time():
     for run in ("a" * 400_000 + "@", "1" * 400_000, "+" * 200_000, "1 " * 200_000, "@" * 300_000):
         assert pii.find(run + " x@y.zz")[0][0][0] == 0
