@@ -9,7 +9,9 @@ A transcript may be longer than one task can hold. It is cut into blocks of sour
 the best score from each state before it to each state at its end is computed, which is a small matrix
 whatever the block's length. The matrices of a transcript are chained to find the states at all block
 ends, and each block is decoded between its own two states. That is exactly what one pass over the
-whole transcript gives.
+whole transcript gives. Rows are numbered over all transcripts by range partitions with counted offsets,
+and a block is at most so many rows of a transcript, whatever their turns are. Matrices are multiplied (best
+of sums) up a tree and the states are handed down it, so that no task sees all blocks of a transcript.
 
 A turn that reaches over a block's end comes as several pieces in order; the pieces that go on have
 ``begins`` false, and the rendered pieces joined give the rendered transcript. Null text is a blank
@@ -20,12 +22,13 @@ by text. A null conversation id is one conversation. An empty table gives no row
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketfold.llm.common import staged, whole_text
@@ -47,6 +50,10 @@ MARKER = re.compile(
 WIDTHS = (4, 4, 2, 4)
 END = "\n<|end|>\n"
 BLOCK_TURNS = 256
+FAN_IN = 64  # blocks, or products of them, that are multiplied in one group
+
+# A last line that is blank, as ``str.strip`` sees it.
+ENDS_BLANK = r"(^|\n)[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*\z"
 MADE_UP = 0.5  # added to every count
 
 
@@ -129,9 +136,15 @@ def decode(model: Model, emission: np.ndarray, before: int | None, end: int | No
     return path[::-1]
 
 
-def labelled_lines(turns: DataFrame) -> DataFrame:
+def labelled_lines(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """Training rows of :func:`train` from (conv, turn, role, text) rows with known roles."""
-    return turns.groupBy("conv").applyInArrow(
+    placed = turns.select(
+        "conv", F.col("turn").cast("long").alias("turn"), whole_text("text").alias("text"), "role"
+    )
+    role = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")) - 1
+    state = (2 * role + F.col("text").contains("\n").cast("int")).cast("int")
+    placed, _ = _in_blocks(placed, block_turns)
+    return _with_line_before(placed, state).groupBy("conv", "block").applyInArrow(
         _label, "before int, state int, f0 int, f1 int, f2 int, f3 int"
     )
 
@@ -145,31 +158,82 @@ def parse(rows: DataFrame, model: Model, block_turns: int = BLOCK_TURNS) -> Data
     kind = rows.schema["conv"].dataType.simpleString()
     placed = rows.select(
         "conv", F.col("turn").cast("long").alias("turn"), whole_text("text").alias("text")
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(2**62))))
-    # A line is judged by the one before it, so a block has to know how the one before it ends.
-    last = F.max_by("text", F.struct("turn", "text"))
-    ends = placed.groupBy("conv", "block").agg(last.rlike(r"(^|\n)\s*$").alias("ends_blank"))
-    ends = staged(ends)
-    following = ends.groupBy("conv").applyInArrow(
-        _after_blank, f"conv {kind}, block long, after_blank boolean"
     )
-    blocks = staged(_null_safe(placed, staged(following)))
+    placed, number = _in_blocks(placed, block_turns)
+    blocks = staged(_with_line_before(placed, F.lit(0)))
     matrices = staged(
         blocks.groupBy("conv", "block").applyInArrow(
             lambda table: _transfer(table, model), f"conv {kind}, block long, best array<double>"
         )
     )
-    bounds = staged(
-        matrices.groupBy("conv").applyInArrow(
-            _chain, f"conv {kind}, block long, before int, end int, final boolean"
-        )
-    )
+    bounds = _bounds(matrices, number, kind)
     return _null_safe(blocks, bounds).groupBy("conv", "block").applyInArrow(
         lambda table: _pieces(table, model),
         f"conv {kind}, turn long, line int, role string, begins boolean, text string, rendered string",
     )
 
 
+def _in_blocks(rows: DataFrame, block_turns: int) -> tuple[DataFrame, int]:
+    """Rows with their place ``at`` in the order of all and their ``block``, and how many blocks there are.
+
+    The blocks of a transcript follow each other without a gap. Rows that are the same in everything
+    are told apart by any number, so that they too are dealt over many tasks.
+    """
+    order = [*rows.columns, "tie"]
+    dealt = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order)
+    dealt = dealt.sortWithinPartitions(*order).drop("tie")
+    dealt = staged(dealt.withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33).cast("int")
+    # One row for every partition that has rows.
+    sizes = dict(map(tuple, dealt.groupBy(part).count().collect()))
+    offsets, total = [], 0
+    for i in range(max(sizes, default=0) + 1):
+        offsets.append(total)
+        total += sizes.get(i, 0)
+    first = F.get(F.array(*[F.lit(n).cast("long") for n in offsets]), part)
+    dealt = dealt.withColumn("at", first + F.col("at").bitwiseAND((1 << 33) - 1))
+    return dealt.withColumn("block", F.floor(F.col("at") / block_turns)), total // block_turns + 1
+
+
+def _with_line_before(placed: DataFrame, state: Column) -> DataFrame:
+    """Adds what is known of the last line before the block: its state, and whether it is blank.
+
+    A transcript begins after a blank line and after no state.
+    """
+    last = F.struct(state.alias("state"), F.col("text").rlike(ENDS_BLANK).alias("blank"))
+    ends = placed.groupBy("conv", "block").agg(F.max_by(last, "at").alias("last"))
+    following = ends.select(
+        F.col("conv").alias("conv_r"), (F.col("block") + 1).alias("block_r"), F.col("last")
+    )
+    same = F.col("conv").eqNullSafe(F.col("conv_r")) & (F.col("block") == F.col("block_r"))
+    return placed.join(following, same, "left").select(
+        *placed.columns,
+        F.col("last.state").alias("state_before"),
+        F.coalesce("last.blank", F.lit(True)).alias("after_blank"),
+    )
+
+
+def _bounds(matrices: DataFrame, number: int, kind: str) -> DataFrame:
+    """(conv, block, before, end, final) of every block: its states on the best path of its transcript."""
+    levels = [matrices]
+    while number > 1:
+        number = -(-number // FAN_IN)
+        up = levels[-1].withColumn("parent", F.floor(F.col("block") / FAN_IN))
+        product = up.groupBy("conv", "parent").applyInArrow(
+            _product, f"conv {kind}, block long, best array<double>"
+        )
+        levels.append(staged(product))
+    columns = f"conv {kind}, block long, before int, end int, final boolean"
+    bounds = levels.pop().mapInArrow(_roots, columns)
+    for level in reversed(levels):
+        parents = staged(bounds).withColumnsRenamed({"conv": "conv_r", "block": "block_r"})
+        down = level.withColumn("parent", F.floor(F.col("block") / FAN_IN))
+        same = F.col("conv").eqNullSafe(F.col("conv_r")) & (F.col("parent") == F.col("block_r"))
+        down = down.join(parents, same).drop("conv_r", "block_r")
+        bounds = down.groupBy("conv", "parent").applyInArrow(_hand_down, columns)
+    return staged(bounds)
+
+
 def render(role: str, text: str, begins: bool, first: bool, last: bool) -> str:
     """A piece of a turn in canonical form; the pieces of a transcript in order make it up.
 
@@ -186,10 +250,7 @@ def _null_safe(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def _in_order(table: pa.Table) -> pa.Table:
-    order = [("turn", "ascending"), ("text", "ascending")]
-    # Arrow puts nulls last; they come first here.
-    missing = pa.compute.is_null(table["turn"])
-    return table.append_column("has", pa.compute.invert(missing)).sort_by([("has", "ascending"), *order])
+    return table.sort_by("at")
 
 
 def _split(table: pa.Table) -> tuple[list[str], list[tuple[int | None, int]]]:
@@ -209,18 +270,13 @@ def _label(table: pa.Table) -> pa.Table:
         lines += own
         base = 2 * ROLES.index(role)
         states += [base] + [base + 1] * (len(own) - 1)
-    seen = features(lines, True)
-    columns = {"before": pa.array([None, *states[:-1]], pa.int32()), "state": pa.array(states, pa.int32())}
+    seen = features(lines, table["after_blank"][0].as_py())
+    before = [table["state_before"][0].as_py(), *states[:-1]]
+    columns = {"before": pa.array(before, pa.int32()), "state": pa.array(states, pa.int32())}
     columns |= {f"f{i}": pa.array(seen[:, i], pa.int32()) for i in range(len(WIDTHS))}
     return pa.table(columns)
 
 
-def _after_blank(table: pa.Table) -> pa.Table:
-    table = table.sort_by("block")
-    ends = [True, *table["ends_blank"].to_pylist()[:-1]]
-    return table.select(["conv", "block"]).append_column("after_blank", pa.array(ends, pa.bool_()))
-
-
 def _emission(table: pa.Table, model: Model) -> tuple[np.ndarray, list[str], list]:
     lines, where = _split(_in_order(table))
     return model.emission(features(lines, bool(table["after_blank"][0].as_py()))), lines, where
@@ -232,22 +288,53 @@ def _transfer(table: pa.Table, model: Model) -> pa.Table:
     return head.append_column("best", pa.array([best.ravel().tolist()], pa.list_(pa.float64())))
 
 
-def _chain(table: pa.Table) -> pa.Table:
+def _matrices(table: pa.Table) -> list[np.ndarray]:
+    return [np.array(m).reshape(STATES + 1, STATES) for m in table["best"].to_pylist()]
+
+
+def _product(table: pa.Table) -> pa.Table:
+    table = table.sort_by("block")
+    first, *others = _matrices(table)
+    for matrix in others:
+        first = (first[:, :, None] + matrix[None, :-1]).max(axis=1)
+    head = table.select(["conv", "parent"]).slice(0, 1).rename_columns(["conv", "block"])
+    return head.append_column("best", pa.array([first.ravel().tolist()], pa.list_(pa.float64())))
+
+
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bounds of whole transcripts; there is no state before them."""
+    for batch in batches:
+        ends = [int(matrix[-1].argmax()) for matrix in _matrices(batch)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["conv"],
+                batch["block"],
+                pa.nulls(len(ends), pa.int32()),
+                pa.array(ends, pa.int32()),
+                pa.array([True] * len(ends), pa.bool_()),
+            ],
+            ["conv", "block", "before", "end", "final"],
+        )
+
+
+def _hand_down(table: pa.Table) -> pa.Table:
+    """Bounds of blocks from the bounds of their product."""
     table = table.sort_by("block")
-    matrices = [np.array(m).reshape(STATES + 1, STATES) for m in table["best"].to_pylist()]
-    score, back = matrices[0][-1], []
+    before, end = table["before"][0].as_py(), table["end"][0].as_py()
+    matrices = _matrices(table)
+    score, back = matrices[0][STATES if before is None else before], []
     for matrix in matrices[1:]:
         reached = score[:, None] + matrix[:-1]
         back.append(reached.argmax(axis=0))
         score = reached.max(axis=0)
-    ends = [int(score.argmax())]
+    ends = [end]
     for pointers in reversed(back):
         ends.append(int(pointers[ends[-1]]))
     ends = ends[::-1]
-    final = [False] * (len(ends) - 1) + [True]
+    final = [False] * (len(ends) - 1) + [table["final"][0].as_py()]
     return (
         table.select(["conv", "block"])
-        .append_column("before", pa.array([None, *ends[:-1]], pa.int32()))
+        .append_column("before", pa.array([before, *ends[:-1]], pa.int32()))
         .append_column("end", pa.array(ends, pa.int32()))
         .append_column("final", pa.array(final, pa.bool_()))
     )

@@ -299,3 +299,29 @@ def test_odd_transcripts(spark, model):
     assert text[3] == "<|user|>\nx\nUser: x\n<|end|>\n"
     empty = spark.createDataFrame([], "conv long, turn long, text string")
     assert chat.parse(empty, model).collect() == []
+
+
+@pytest.mark.parametrize("turn", [None, 7])
+def test_no_group_holds_more_than_a_block_of_a_conversation(spark, model, monkeypatch, turn):
+    monkeypatch.setattr(chat, "FAN_IN", 2)
+    roles = ("user", "assistant")
+    rows = [(None, turn, roles[i % 2], f"{i:03d}\n{'Human: why?' if i % 2 == 0 else 'AI: so'}\n") for i in range(90)]
+    rows += [(None, turn, "user", "the same")] * 30 + [(5, 1, "user", "Human: hi\n\u00a0"), (5, 2, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv long, turn long, role string, text string")
+    placed, number = chat._in_blocks(turns.select("conv", "turn", "text"), 8)
+    assert number == 16
+    assert max(r["count"] for r in placed.groupBy("conv", "block").count().collect()) <= 8
+
+    def written(block):
+        texts = {}
+        found = chat.parse(turns, model, block_turns=block).collect()
+        for r in found:
+            texts.setdefault(r.conv, []).append(r.rendered)
+        return {conv: sum(map(len, pieces)) for conv, pieces in texts.items()}, len(found)
+
+    assert written(8)[0] == written(10**6)[0]
+
+    def counted(block):
+        return sorted(chat.labelled_lines(turns, block).collect(), key=str)
+
+    assert counted(8) == counted(10**6)
