@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketfold.llm import bitplane, bpe, chat, counts, decontaminate, lines, minhash, pii, quality, sketch
+from marketfold.llm import (
+    bitplane,
+    bpe,
+    chat,
+    counts,
+    decontaminate,
+    lines,
+    merkle,
+    minhash,
+    pii,
+    quality,
+    sketch,
+    spelling,
+)
 from marketfold.llm.common import documents, prepare, read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +157,43 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "doc_id LONG, source STRING, lang STRING, n_chars LONG, text STRING"
+    docs = read(prepare(spark), folder, "documents", schema)
+
+    def leaf(text: Column) -> Column:
+        names = ("doc_id", "source", "lang", "n_chars")
+        return merkle.digest(*[merkle.field(F.col(name)) for name in names], merkle.field(text))
+
+    lowered = F.translate("text", _CAPITALS, _CAPITALS.lower())
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = docs.select(
+        "lang", "doc_id", leaf(F.col("text")).alias("leaf"), F.when(tampered, leaf(lowered)).alias("shown")
+    )
+    proved = merkle.build(leaves, "lang", "doc_id", "leaf", "shown")
+    folded = merkle.fold(F.coalesce("shown", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# Rarer words are no words of the corpus.
+LEAST_OCCURRENCES = 5
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.count_words(documents(spark, folder)).filter(F.col("n") >= LEAST_OCCURRENCES)
+    return spelling.group_variants(words)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
@@ -156,6 +206,8 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_minhash": op9_minhash,
         "op10_decontaminate": op10_decontaminate,
+        "op11_merkle": op11_merkle,
+        "op12_spelling": op12_spelling,
     }
 
 
