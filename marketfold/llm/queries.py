@@ -21,6 +21,7 @@ from marketfold.llm import (
     quality,
     sketch,
     spelling,
+    suffixes,
 )
 from marketfold.llm.common import documents, prepare, read, staged
 
@@ -194,6 +195,17 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(words)
 
 
+def op13_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.cut_repeats(documents(spark, folder))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_round_trip": op1_bpe_round_trip,
@@ -208,6 +220,7 @@ def queries() -> dict[str, Query]:
         "op10_decontaminate": op10_decontaminate,
         "op11_merkle": op11_merkle,
         "op12_spelling": op12_spelling,
+        "op13_suffixes": op13_suffixes,
     }
 
 
