@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from marketfold.functions import percent
 from marketfold.operators.ranking import add_dense_rank
-from marketfold.operators.staging import stage
+from marketfold.operators.staging import stage, stage_observed
 
 
 def franchise_footprint(franchises: DataFrame) -> DataFrame:
     """Franchises per country with global share and rank; a NULL country is ranked as well."""
-    counts = stage(franchises.groupBy("country").agg(F.count("*").alias("total_franchises")))
-    network = counts.agg(F.sum("total_franchises")).scalar()
-    share = percent(F.col("total_franchises"), network, 2)
+    counts, totals = stage_observed(
+        franchises.groupBy("country").agg(F.count("*").alias("total_franchises")),
+        network=F.sum("total_franchises"),
+    )
+    share = percent(F.col("total_franchises"), F.lit(totals["network"]), 2)
     ranked = add_dense_rank(
         counts.withColumn("pct_of_global_network", share), "country_rank", by="total_franchises"
     )
@@ -41,11 +43,12 @@ def franchise_analytics(franchises: DataFrame) -> DataFrame:
     Rows without a country are left out, but they belong to the global total, so the global shares
     may add up to less than 100.
     """
-    counts = stage(
-        franchises.groupBy("country", "size").agg(F.count("*").alias("number_of_franchises"))
-    )
     number = F.col("number_of_franchises")
-    network = counts.agg(F.sum(number)).scalar()
+    counts, seen = stage_observed(
+        franchises.groupBy("country", "size").agg(F.count("*").alias("number_of_franchises")),
+        network=F.sum(number),
+    )
+    network = F.lit(seen["network"])
     totals = (
         counts.filter(F.col("country").isNotNull())
         .groupBy("country")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from marketfold.functions import free_names
@@ -24,7 +25,8 @@ def add_dense_rank(staged: DataFrame, name: str, by: str, within: Sequence[str]
     boundaries that Spark takes from the data, and numbered inside each partition; the rows of the
     partitions before are added, and the number of the group's first value taken off. The
     numbered values are staged, so that a retried task finds the same partitions. Equal values are
-    one before anything is ordered, so a value that many rows share cannot fill a task.
+    one before anything is ordered, so a value that many rows share cannot fill a task. The driver sees one
+    number for each partition.
 
     Runs jobs when called.
     """
@@ -37,27 +39,29 @@ def add_dense_rank(staged: DataFrame, name: str, by: str, within: Sequence[str]
         .sortWithinPartitions(*order)
         .withColumn(at, F.monotonically_increasing_id())
     )
-    numbered = numbered.select(
-        *keys,
-        F.shiftright(at, _ROW_BITS).alias(part),
-        F.col(at).bitwiseAND(2**_ROW_BITS - 1).alias(at),
-    )
-    # A row for each partition, few enough for one ordered window and for every task.
-    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = numbered.groupBy(part).agg(F.count("*").alias(index))
-    offsets = offsets.select(part, F.coalesce(F.sum(index).over(before), F.lit(0)).alias(index))
-    numbered = numbered.join(F.broadcast(offsets), part).select(
-        *keys, (F.col(index) + F.col(at)).alias(index)
+    numbered = numbered.withColumns(
+        {part: F.shiftright(at, _ROW_BITS), at: F.col(at).bitwiseAND(2**_ROW_BITS - 1)}
     )
+    before = _rows_before(numbered.groupBy(part).agg(F.count("*").alias(at)).collect())
+    numbered = numbered.select(*keys, (before(F.col(part)) + F.col(at)).alias(index))
     rank = F.col(index) + 1
     if within:
-        firsts = stage(numbered.groupBy(*within).agg(F.min(index).alias(first)))
+        firsts = numbered.groupBy(*within).agg(F.min(index).alias(first))
         numbered = _join_null_safe(numbered, firsts, list(within))
         rank = rank - F.col(first)
     ranks = numbered.select(*keys, rank.cast("int").alias(name))
     return _join_null_safe(staged, ranks, keys)
 
 
+def _rows_before(counts: list[Row]) -> Callable[[Column], Column]:
+    """The rows of all partitions before one, from (partition, rows)."""
+    rows = dict(map(tuple, counts))
+    sums = accumulate((rows.get(part, 0) for part in range(max(rows, default=0) + 1)), initial=0)
+    # One literal, however many partitions there are.
+    known = F.split(F.lit(",".join(map(str, sums))), ",").cast("array<long>")
+    return lambda part: F.get(known, part.cast("int"))
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys`` with NULL equal to NULL; keeps the left side's keys."""
     names = free_names(left, *[f"_{key}_right" for key in keys])

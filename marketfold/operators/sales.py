@@ -6,19 +6,22 @@ finish from there: calling them runs the aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from marketfold.functions import (
+    amount_literal,
     amount_mean,
     amount_merge,
     amount_sum,
     amount_total,
+    free_names,
     percent,
     ratio,
+    split_amounts,
 )
 from marketfold.operators.ranking import add_dense_rank
-from marketfold.operators.staging import stage
+from marketfold.operators.staging import stage, stage_observed
 
 
 def customer_geo(customers: DataFrame) -> DataFrame:
@@ -84,31 +87,37 @@ def product_revenue(transactions: DataFrame) -> DataFrame:
 
     Share and rank compare rounded revenue.
     """
-    products = stage(_sales_report(transactions, "product"))
-    grand_total = _one_total(products.agg(amount_sum("total_revenue").alias("revenue")))
-    share = percent(F.col("total_revenue"), grand_total, 2)
-    shared = products.withColumn("revenue_share_pct", share)
+    products, totals = stage_observed(
+        _sales_report(transactions, "product"), revenue=amount_sum("total_revenue")
+    )
+    shared = _with_share(products, F.col("total_revenue"), totals["revenue"])
     ranked = add_dense_rank(shared, "revenue_rank", by="total_revenue")
     return ranked.orderBy("revenue_rank", "product")
 
 
 def payment_breakdown(transactions: DataFrame) -> DataFrame:
     """Sales per payment method with share of the unrounded revenue, highest revenue first."""
-    methods = stage(
-        transactions.groupBy("paymentMethod").agg(
+    methods, totals = stage_observed(
+        split_amounts(transactions, "totalPrice")
+        .groupBy("paymentMethod")
+        .agg(
             F.count("*").alias("total_transactions"),
-            amount_sum("totalPrice").alias("revenue"),
-        )
+            amount_sum("totalPrice", split=True).alias("revenue"),
+        ),
+        revenue=amount_merge("revenue"),
     )
     revenue = amount_total("revenue")
-    grand_total = _one_total(methods.agg(amount_merge("revenue").alias("revenue")))
-    return methods.select(
-        "paymentMethod",
-        "total_transactions",
-        F.round(revenue, 2).alias("total_revenue"),
-        F.round(amount_mean("revenue"), 2).alias("avg_transaction_value"),
-        percent(revenue, grand_total, 2).alias("revenue_share_pct"),
-    ).orderBy(F.desc("total_revenue"), "paymentMethod")
+    return _with_share(
+        methods.select(
+            "paymentMethod",
+            "total_transactions",
+            F.round(revenue, 2).alias("total_revenue"),
+            F.round(amount_mean("revenue"), 2).alias("avg_transaction_value"),
+            revenue.alias("exact_revenue"),
+        ),
+        F.col("exact_revenue"),
+        totals["revenue"],
+    ).drop("exact_revenue").orderBy(F.desc("total_revenue"), "paymentMethod")
 
 
 def transaction_summary(transactions: DataFrame) -> DataFrame:
@@ -122,9 +131,13 @@ def transaction_summary(transactions: DataFrame) -> DataFrame:
     return ranked.drop("exact_revenue").orderBy("product", name, "paymentMethod")
 
 
-def _one_total(totals: DataFrame) -> Column:
-    """The single row's total as a scalar subquery, so that no row has to be moved to compare it."""
-    return totals.select(amount_total("revenue")).scalar()
+def _with_share(rows: DataFrame, revenue: Column, observed: Row) -> DataFrame:
+    """Append the share of ``revenue`` in a total observed while the rows were staged."""
+    (total,) = free_names(rows, "_total")
+    with_total = rows.withColumn(total, amount_literal(observed))
+    return with_total.withColumn(
+        "revenue_share_pct", percent(revenue, amount_total(total), 2)
+    ).drop(total)
 
 
 def _gender_is(gender: str) -> Column:
@@ -139,12 +152,13 @@ def _markets(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     distinct count needs no further pass: the rows are distinct by then. Repeated customer rows
     still count their revenue each time, through the row count they carry.
     """
+    bought = transactions.filter(F.col("customer_id").isNotNull())
     spending = (
-        transactions.filter(F.col("customer_id").isNotNull())
+        split_amounts(bought, "totalPrice")
         .groupBy("customer_id")
         .agg(
             F.count("transaction_id").alias("transactions"),
-            amount_sum("totalPrice").alias("revenue"),
+            amount_sum("totalPrice", split=True).alias("revenue"),
         )
     )
     residents = customers.groupBy("customer_id", "country").agg(
@@ -174,11 +188,12 @@ def _sales_report(
 ) -> DataFrame:
     """Counts, quantity, revenue and averages per ``keys``; a unit price needs a quantity."""
     unit_price = F.expr("TRY_DIVIDE(CAST(totalPrice AS DOUBLE), CAST(quantity AS DOUBLE))")
-    sums = transactions.withColumn("unit_price", unit_price).groupBy(*keys).agg(
+    priced = transactions.withColumn("unit_price", unit_price)
+    sums = split_amounts(priced, "totalPrice", quotients=["unit_price"]).groupBy(*keys).agg(
         F.count("*").alias("total_transactions"),
         F.sum("quantity").alias("total_quantity"),
-        amount_sum("totalPrice").alias("revenue"),
-        amount_sum("unit_price").alias("unit_prices"),
+        amount_sum("totalPrice", split=True).alias("revenue"),
+        amount_sum("unit_price", decimal=False, split=True).alias("unit_prices"),
     )
     return sums.withColumn("exact_revenue", amount_total("revenue")).select(
         *keys,

@@ -21,6 +21,7 @@ from marketfold.functions import (
     percent,
     ratio,
     round_each,
+    split_amounts,
 )
 
 # The bounds of a plausible trip, all exclusive, in miles and dollars.
@@ -93,18 +94,19 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
 
 def compute_hourly_revenue(df: DataFrame) -> DataFrame:
     """Trips, revenue and averages per pickup hour, in hour order."""
-    return hourly_report(tally(df.groupBy("pickup_hour")))
+    return hourly_report(tally(split_amounts(df, *MEASURES).groupBy("pickup_hour")))
 
 
 def compute_pickup_zone_revenue(df: DataFrame) -> DataFrame:
     """Trips, revenue and averages per pickup zip, highest revenue first; no row for a NULL zip."""
-    return zone_report(tally(df.filter(F.col("pickup_zip").isNotNull()).groupBy("pickup_zip")))
+    zoned = split_amounts(df.filter(F.col("pickup_zip").isNotNull()), *MEASURES)
+    return zone_report(tally(zoned.groupBy("pickup_zip")))
 
 
 def compute_daily_zone_stats(df: DataFrame) -> DataFrame:
     """Trips, revenue and average fare per pickup date and zip; no row for a NULL zip."""
-    zoned = df.filter(F.col("pickup_zip").isNotNull())
     measures = ("total_amount", "fare_amount")
+    zoned = split_amounts(df.filter(F.col("pickup_zip").isNotNull()), *measures)
     return daily_report(tally(zoned.groupBy("pickup_date", "pickup_zip"), measures))
 
 
@@ -114,14 +116,20 @@ def add_rolling_revenue(df: DataFrame) -> DataFrame:
     Days without a row are left out of the average, not counted as zero. The frame is a range of
     dates, so a gap never lets an older day in. One zip has at most one row per day, which bounds
     what a task has to order.
+
+    Daily revenues are rounded, so one decimal sum adds them without error. Only a frame with a revenue that is
+    no such decimal (from 1e20 on, infinite, NaN) has a plain average.
     """
-    last_days = f"""PARTITION BY pickup_zip ORDER BY UNIX_DATE(pickup_date)
-        RANGE BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW"""
-    (week,) = free_names(df, "_week")
+    last_days = f"""OVER (PARTITION BY pickup_zip ORDER BY UNIX_DATE(pickup_date)
+        RANGE BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW)"""
+    (fixed,) = free_names(df, "_fixed")
+    mean = f"""IF(COUNT(`{fixed}`) {last_days} = COUNT(total_revenue) {last_days},
+        TRY_DIVIDE(CAST(SUM(`{fixed}`) {last_days} AS DOUBLE), COUNT(total_revenue) {last_days}),
+        AVG(total_revenue) {last_days})"""
     return (
-        df.withColumn(week, amount_sum("total_revenue", over=last_days))
-        .withColumn("rolling_7d_avg_revenue", F.round(amount_mean(week), 2))
-        .drop(week)
+        df.withColumn(fixed, F.expr("TRY_CAST(total_revenue AS DECIMAL(28, 8))"))
+        .withColumn("rolling_7d_avg_revenue", F.round(F.expr(mean), 2))
+        .drop(fixed)
     )
 
 
@@ -141,10 +149,10 @@ def retention_report(df: DataFrame) -> DataFrame:
 def tally(
     groups: GroupedData, measures: Sequence[str] = MEASURES, **extra: Column
 ) -> DataFrame:
-    """Count trips and sum ``measures`` per group; ``extra`` names further aggregates."""
+    """Count trips and sum ``measures``, split before, per group; ``extra`` names further aggregates."""
     return groups.agg(
         F.count("*").alias("trips"),
-        *[amount_sum(name).alias(name) for name in measures],
+        *[amount_sum(name, split=True).alias(name) for name in measures],
         *[column.alias(name) for name, column in extra.items()],
     )
 

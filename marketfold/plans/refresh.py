@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from marketfold.functions import split_amounts
 from marketfold.operators import sales, trips
 from marketfold.operators.franchise import franchise_analytics
 from marketfold.operators.staging import stage
@@ -69,7 +70,7 @@ def summarise_trips(enriched: DataFrame) -> dict[str, DataFrame]:
     """
     tallies = stage(
         trips.tally(
-            enriched.groupingSets(
+            split_amounts(enriched, *trips.MEASURES).groupingSets(
                 [["pickup_hour"], ["pickup_date", "pickup_zip"]],
                 "pickup_hour",
                 "pickup_date",

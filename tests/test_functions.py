@@ -119,6 +119,62 @@ def test_nan_and_opposite_infinities_give_nan(spark):
     assert math.isnan(total_and_mean(numbers(spark, [INF, -INF]))[0])
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+@pytest.mark.parametrize(
+    ("value", "away", "expected"),
+    [
+        (1e9 + 2.0**-23, 1e9, 0.11920928955078125),
+        (1e6 + 2.0**-33, 1e6, 0.00011641532182693481),
+        (1e10 + 2.0**-19, 1e10, 1.9073486328125),
+        (4e15 + 0.5, 4e15, 500_000.0),
+        (2.0**33 + 0.25, 2.0**33, 250_000.0),
+        (0.1 + 2.0**-53, 0.1, None),
+    ],
+)
+def test_digits_beside_a_six_decimal_number_are_kept(spark, value, away, expected, partitions):
+    sign = "IF(id % 2 = 0, 1, -1)"
+    df = spark.range(0, 2_000_000, 1, partitions).select(
+        F.expr(f"IF({sign} = 1, {value!r}D, -{away!r}D)").alias("x")
+    )
+    total, _ = total_and_mean(df)
+    if expected is None:
+        # One is taken as a number of six decimals, its neighbour with all of its digits.
+        expected = (value - 0.1) * 1_000_000
+        assert total == pytest.approx(expected, rel=0.6) and total > 0
+    else:
+        assert total == expected
+
+
+@pytest.mark.parametrize("decimal", [True, False])
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1 / 3] * 1000 + [1e9 / 7] * 777 + [-2 / 3, 5e-5 / 7],
+        [random.Random(11).uniform(-1e9, 1e9) for _ in range(5000)],
+        [random.Random(12).uniform(-1, 1) * 10.0 ** random.Random(i).randint(-4, 15) for i in range(5000)],
+        [2.0**53 + 2, 1 / 3, -(2.0**53), 1e17, 1 / 7],
+    ],
+)
+def test_sums_of_quotients_are_rounded_once(spark, values, decimal):
+    df = numbers(spark, values, 5)
+    sums = df.agg(amount_sum("x", decimal=decimal).alias("s")).select(amount_total("s").alias("t"))
+    assert only_row(sums)["t"] == math.fsum(values)
+
+
+def test_a_million_unit_prices_equal_the_correctly_rounded_sum(spark):
+    df = spark.range(0, 1_000_000, 1, 6).select(
+        F.expr("IF(id % 2 = 0, 1D / 3D, 1e9D / 7D)").alias("x")
+    )
+    sums = df.agg(amount_sum("x", decimal=False).alias("s")).select(amount_total("s").alias("t"))
+    assert only_row(sums)["t"] == math.fsum([1 / 3, 1e9 / 7] * 500_000)
+
+
+def test_a_total_beyond_the_lanes_is_an_error_and_not_a_wrong_sum(spark):
+    df = spark.range(0, 2_000_000, 1, 2).select(F.lit(9e19).alias("x"))
+    with pytest.raises(Exception, match="overflow|OVERFLOW"):
+        total_and_mean(df)
+
+
 def test_sum_accepts_integers_and_decimals(spark):
     assert total_and_mean(spark.sql("SELECT 3 AS x UNION ALL SELECT 4"))[0] == 7.0
     assert total_and_mean(spark.sql("SELECT 0.10BD AS x UNION ALL SELECT 0.20BD"))[0] == 0.3
