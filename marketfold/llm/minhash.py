@@ -17,9 +17,9 @@ Three things keep lists short and leave nothing out:
 * Members of a long list that is not crowded are posted again under pairs of coordinates, then triples and so
   on: a pair that agrees in ``matches`` places meets at each of these depths.
 
-At a similarity of 0.8 a pair is missed with a chance of 8e-7: a third each for fewer than 4
-of 16 equal coordinates, where lists go that deep, for more than 52 of 256 different bits, and for
-more than 276 of 2048, in crowded lists.
+A pair of exactly the similarity asked for is missed with a chance of 8e-7: a third each for too few equal coordinates
+(fewer than 4 of 16 at 0.8), where lists go that deep, for too many different bits (more than 52 of 256), and
+for too many of the longer sketch (more than 276 of 2048), in crowded lists.
 
 Texts without words have an empty set, are linked with nothing and are their own component. Repeated
 rows and rows that share an id belong together. A null id cannot be named as a component: such a row
@@ -31,6 +31,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -45,21 +46,67 @@ from marketfold.llm.shingles import shingle_set
 
 @dataclass(frozen=True)
 class Likeness:
-    """What counts as near: shingle length in words and intersection over union in percent."""
+    """What counts as near: shingle length in words and intersection over union in percent.
+
+    The numbers of coordinates and of equal ones, and of bits that may differ, follow from ``percent`` and the
+    chance ``miss`` of each of the three limits to lose a pair of exactly that similarity.
+    """
 
     words: int = 5
     percent: int = 80
-    coordinates: int = 16
-    matches: int = 4
     bits: int = 256
-    different: int = 52
     crowd_bits: int = 2048
-    crowd_different: int = 276
+    miss: float = 2.7e-7
     # A list with more members that look like its smallest one is crowded.
     crowd: int = 24
     # Any other list with more members outside its largest component is posted again, one deeper.
     long_list: int = 128
 
+    def __post_init__(self) -> None:
+        # Below a quarter, so many coordinates are needed that lists no longer tell texts apart.
+        if not 25 <= self.percent <= 100:
+            raise ValueError("percent must be from 25 to 100")
+
+    @functools.cached_property
+    def coordinates(self) -> int:
+        """Places of a signature: as many as it takes for at least four equal ones."""
+        return next(n for n in range(16, self.bits + 1, 4) if self._fewest(n) >= 4)
+
+    @functools.cached_property
+    def matches(self) -> int:
+        """Equal coordinates that a near pair has."""
+        return self._fewest(self.coordinates)
+
+    @functools.cached_property
+    def different(self) -> int:
+        return self._most(self.bits)
+
+    @functools.cached_property
+    def crowd_different(self) -> int:
+        return self._most(self.crowd_bits)
+
+    def _fewest(self, n: int) -> int:
+        """Of ``n`` coordinates, each equal with the chance of the similarity."""
+        return _quantile(n, self.percent / 100, self.miss)
+
+    def _most(self, n: int) -> int:
+        """Of ``n`` bits, each different with half the chance of a different coordinate."""
+        return n - _quantile(n, (1 + self.percent / 100) / 2, self.miss)
+
+
+def _quantile(n: int, chance: float, miss: float) -> int:
+    """The most k such that fewer than k of ``n`` events of that chance are rarer than ``miss``."""
+    if chance == 1:
+        return n
+    below, k = 0.0, 0
+    while k < n:
+        ways = lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+        below += exp(ways + k * log(chance) + (n - k) * log(1 - chance))
+        if below > miss:
+            break
+        k += 1
+    return k
+
 
 def near_duplicates(
     docs: DataFrame, like: Likeness | None = None, id_col: str = "doc_id", text_col: str = "text"
@@ -121,19 +168,24 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     crowd, starred = _crowded(lists, nodes, texts, like)
     joined = staged(smallest_reachable(starred))
 
-    place = F.shiftright("key", 32).cast("int").alias("place")
-    members = lists.select("key", place, "node").join(joined, "node", "left")
-    members = members.withColumn("component", F.coalesce("component", "node"))
-    members = members.join(crowd.keys, "key", "left").join(crowd.members, "node", "left")
-    members = members.select(
-        "key",
-        "place",
-        "node",
-        "component",
-        F.coalesce("crowded", F.lit(False)).alias("crowded"),
-        F.when(F.col("crowded"), F.col("alone")).alias("alone"),
-        F.when(F.col("crowded"), F.col("longer")).alias("longer"),
-    ).fillna(0, "alone")
+    # Every node once with all of its lists: what it brings along is joined by node only here.
+    own_lists = (
+        lists.select("key", F.shiftright("key", 32).cast("int").alias("place"), "node")
+        .join(crowd.keys, "key", "left")
+        .groupBy("node")
+        .agg(F.collect_list(F.struct("key", "place", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("own"))
+    )
+    known = own_lists.join(nodes.drop("digest"), "node").join(joined, "node", "left")
+    known = known.join(crowd.members, "node", "left")
+    members = known.select(
+        "node", "n", "sig", "bits", F.coalesce("component", "node").alias("component"), "alone", "longer", F.inline("own")
+    )
+    members = members.withColumns(
+        {
+            "alone": F.when(F.col("crowded"), F.coalesce("alone", F.lit(0))).otherwise(0),
+            "longer": F.when(F.col("crowded"), F.col("longer")),
+        }
+    )
     found = None
     depth = 1
     while True:
@@ -143,8 +195,7 @@ def _links(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
             F.max_by("component", F.struct("size", "component")).alias("largest"),
             (F.sum("size") - F.max("size")).alias("others"),
         )
-        shape = staged(shape.filter("others > 0"))
-        members = staged(members.join(shape, "key").join(nodes, "node"))
+        members = staged(members.join(shape.filter("others > 0"), "key"))
         short = F.col("crowded") | (F.col("others") <= like.long_list)
         short = short | F.lit(depth == like.matches)
         pairs = staged(_pairs_across(members.filter(short), depth, like))
@@ -204,22 +255,22 @@ def _deeper(long: DataFrame, depth: int, like: Likeness) -> DataFrame:
     # The d-th of the required matches lies in the first ``coordinates - matches + d``.
     last = like.coordinates - like.matches + depth - 1
     following = F.slice("sig", F.col("place") + 2, F.lit(last) - F.col("place"))
-    posted = (
+    return (
         long.filter(F.col("place") < last)
-        .select("node", "component", "key", F.explode(following).alias("next"))
+        .select("node", "n", "sig", "bits", "component", "alone", "key", F.explode(following).alias("next"))
         .select(
             F.xxhash64("key", "next").alias("key"),
             F.shiftright("next", 32).cast("int").alias("place"),
             "node",
+            "n",
+            "sig",
+            "bits",
             "component",
             F.lit(False).alias("crowded"),
-            F.lit(0).alias("alone"),
+            "alone",
             F.lit(None).cast("array<long>").alias("longer"),
         )
     )
-    posted = staged(posted)
-    repeated = staged(posted.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
-    return posted.join(repeated.select("key"), "key")
 
 
 def _pairs_across(members: DataFrame, depth: int, like: Likeness) -> DataFrame:
@@ -234,16 +285,22 @@ def _pairs_across(members: DataFrame, depth: int, like: Likeness) -> DataFrame:
     # Of its own shingles a near pair has that share at least in common.
     enough = (F.col("n") - F.col("alone")) * 100 >= F.col("n") * like.percent
     wide = wide.filter(enough)
-    left = wide.filter("component <> largest")
-    left = left.withColumnsRenamed({name: f"{name}_a" for name in wide.columns})
-    right = wide.withColumnsRenamed({name: f"{name}_b" for name in wide.columns})
+    # Sizes of near sets differ by less than a class and a bit; a pair meets in the class of its right side.
+    size = F.floor(F.log("n") / log(101 / like.percent))
+    left = wide.filter("component <> largest").withColumn("class", size)
+    left = left.withColumn("class", F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)))
+    left = left.withColumnsRenamed({name: f"{name}_a" for name in left.columns})
+    right = wide.withColumn("class", size)
+    right = right.withColumnsRenamed({name: f"{name}_b" for name in right.columns})
     differ = [
         F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(like.bits // 64)
     ]
-    further = [
-        F.bit_count(F.col("longer_a")[i].bitwiseXOR(F.col("longer_b")[i]))
-        for i in range(like.crowd_bits // 64)
-    ]
+    # As a loop: written out, the condition would be too long a method for the JVM to compile.
+    further = F.aggregate(
+        F.zip_with("longer_a", "longer_b", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+        F.lit(0),
+        lambda total, each: total + each,
+    )
 
     def upto(side: str) -> Column:
         return F.slice(F.col(f"sig_{side}"), F.lit(1), F.col("place_a") + 1)
@@ -251,13 +308,14 @@ def _pairs_across(members: DataFrame, depth: int, like: Likeness) -> DataFrame:
     usable = F.least(F.expr("n_a - alone_a"), F.expr("n_b - alone_b"))
     condition = (
         (F.col("key_a") == F.col("key_b"))
+        & (F.col("class_a") == F.col("class_b"))
         & (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_b") == F.col("largest_b")) | (F.col("node_a") < F.col("node_b")))
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * like.percent)
         # Of both sets together, the common part of a near pair is percent / (100 + percent).
         & (usable * (100 + like.percent) >= (F.col("n_a") + F.col("n_b")) * like.percent)
         & (sum(differ[1:], differ[0]) <= like.different)
-        & (F.coalesce(sum(further[1:], further[0]), F.lit(0)) <= like.crowd_different)
+        & (F.coalesce(further, F.lit(0)) <= like.crowd_different)
         & (F.size(F.array_intersect(upto("a"), upto("b"))) == depth)
     )
     return left.join(right, condition).select(
