@@ -59,8 +59,9 @@ class Likeness:
     miss: float = 2.7e-7
     # A list with more members that look like its smallest one is crowded.
     crowd: int = 24
-    # Any other list with more members outside its largest component is posted again, one deeper.
-    long_list: int = 128
+    # Any other list with more members outside its largest component is posted again, one deeper. Posting a
+    # member again (some ten rows, shuffled and written) costs as much as comparing it with some two thousand others.
+    long_list: int = 2048
 
     def __post_init__(self) -> None:
         # Below a quarter, so many coordinates are needed that lists no longer tell texts apart.
