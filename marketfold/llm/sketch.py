@@ -153,8 +153,28 @@ def peel_sql(cells: str, salt: int = 0) -> str:
 
 def written_sql(cells: str) -> str:
     """A sketch as text: number, digests and check values of its cells."""
-    cell = "concat(lpad(hex(c.n), 8, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.h), 8, '0'))"
-    return f"base64(unhex(array_join(transform({cells}, c -> right({cell}, 32)), '')))"
+    # The hexadecimal form of a negative int has 16 digits, of which the last eight are its own.
+    cell = (
+        "concat(right(concat('0000000', hex(c.n)), 8), lpad(hex(c.k), 16, '0'), "
+        "right(concat('0000000', hex(c.h)), 8))"
+    )
+    return f"base64(unhex(array_join(transform({cells}, c -> {cell}), '')))"
+
+
+def read_sql(written: str) -> str:
+    """The sketch that :func:`written_sql` wrote."""
+
+    def number(first: int, digits: int) -> str:
+        # A signed number of its digits, by halves that fit.
+        part = f"substr(w, c * 32 + {first}, {digits})"
+        if digits == 8:
+            return f"CAST(CAST(conv({part}, 16, 10) AS BIGINT) - IF({part} >= '8', 4294967296L, 0L) AS INT)"
+        high, low = number(first, 8), f"CAST(conv(substr(w, c * 32 + {first + 8}, 8), 16, 10) AS BIGINT)"
+        return f"shiftleft(CAST({high} AS BIGINT), 32) | {low}"
+
+    cell = f"named_struct('n', {number(1, 8)}, 'k', {number(9, 16)}, 'h', {number(25, 8)})"
+    cells = f"transform(sequence(0, {CELLS - 1}), c -> {cell})"
+    return _let(f"hex(unbase64({written}))", "w", cells)
 
 
 def compare_with_edit(

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marketfold.llm import merkle, queries, spelling, suffixes
+from marketfold.llm import merkle, minhash, queries, sketch, spelling, suffixes
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -321,3 +321,42 @@ def test_no_documents_and_one_very_long_text(docs):
     assert n == 800_996
     assert spans[0][0] == 400_000 and kept.startswith(unit.encode()) and n - len(kept) == sum(e - s for s, e in spans)
     assert len(kept) <= 400_000 + 202
+
+
+# --- stored sketches, and similarities other than 80 percent --------------------------------------
+
+
+def test_stored_sketches_read_back_subtract_and_peel(spark):
+    pick = random.Random(6)
+    common = [pick.randrange(-(2**63), 2**63) for _ in range(200)]
+    a = [pick.randrange(-(2**63), 2**63) for _ in range(9)]
+    b = [pick.randrange(-(2**63), 2**63) for _ in range(7)]
+    df = spark.createDataFrame([(common + a, common + b)], "a array<long>, b array<long>")
+    cells = df.selectExpr(f"{sketch.cells_sql('a')} AS a", f"{sketch.cells_sql('b')} AS b")
+    stored = cells.selectExpr("a", "b", f"{sketch.written_sql('a')} AS wa", f"{sketch.written_sql('b')} AS wb")
+    row = stored.selectExpr(
+        f"{sketch.read_sql('wa')} = a AS same",
+        f"{sketch.peel_sql(sketch.subtract_sql(sketch.read_sql('wa'), sketch.read_sql('wb')))} AS peeled",
+    ).first()
+    assert row["same"]
+    assert (row["peeled"]["ok"], row["peeled"]["a"], row["peeled"]["b"]) == (True, 9, 7)
+
+
+@pytest.mark.parametrize(("percent", "common"), [(60, 78), (90, 96)])
+def test_pairs_just_above_another_similarity_are_all_found(docs, percent, common):
+    rows = []
+    for pair in range(150):
+        words = [f"w{pair}x{i}" for i in range(100)]
+        other = words[:common] + [f"v{pair}x{i}" for i in range(100 - common)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(other))]
+    # Single words: of the 200 - common different ones, common are in both.
+    assert 100 * common >= percent * (200 - common)
+    found = minhash.near_duplicates(docs(rows), minhash.Likeness(words=1, percent=percent)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i // 2 * 2 for i, _ in rows}
+
+
+def test_the_limits_at_80_percent_are_those_derived_by_hand():
+    like = minhash.Likeness()
+    assert (like.coordinates, like.matches, like.different, like.crowd_different) == (16, 4, 52, 276)
+    with pytest.raises(ValueError, match="percent"):
+        minhash.Likeness(percent=10)
