@@ -65,6 +65,6 @@ def test_registered_queries_are_the_operators_and_the_pipeline():
     import __spark_entry__ as entry
 
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert "pipeline" not in entry.oracle_sql()
