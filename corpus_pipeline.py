@@ -41,7 +41,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     near = minhash.near_duplicates(docs)
     dropped = near.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # Quoted, as a name may hold a dot.
+    columns = ["`" + name.replace("`", "``") + "`" for name in docs.columns]
+    return docs.join(dropped, "doc_id", "left_anti").select(*columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

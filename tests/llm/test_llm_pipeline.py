@@ -59,6 +59,8 @@ def test_one_document_of_each_group_of_copies_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()}
     assert left == {0, *range(10, 15), None, 30}
+    dotted = docs.withColumnRenamed("source", "of.source")
+    assert corpus_pipeline.near_dedup(spark, dotted, DATA).columns == dotted.columns
 
 
 def test_registered_queries_are_the_operators_and_the_pipeline():
