@@ -50,3 +50,8 @@ def staged(df: DataFrame, *sort: str) -> DataFrame:
 def whole_text(text_col: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def quoted(name: str) -> str:
+    """A column name as an identifier; it may hold a dot."""
+    return "`" + name.replace("`", "``") + "`"

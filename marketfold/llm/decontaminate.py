@@ -6,8 +6,10 @@ rarest word over all documents. Only document words that are such a prefix are j
 place the word has in its window; a window that would begin before the document or end after it is
 passed over, and the others are compared word by word.
 
-The windows are joined in blocks of at most ``block_windows``, the proven bound of what is sent to
-every executor; each block reads the documents once.
+Windows with a word that no document has cannot occur and are left out. The others are numbered and
+joined in blocks of at most ``block_windows``, whatever their words; so are the words to be counted. That
+is the bound of what is sent to every executor at once; each block reads the documents once. With
+several blocks the documents are staged first, so that all blocks mean the same rows.
 
 Null or empty text has no words. Rows that repeat are counted one by one. Items that repeat share
 their windows; each counts by its own id. An item without an id takes no part. Other columns are not
@@ -21,7 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketfold.llm.common import staged, whole_text
+from marketfold.functions.names import free_names
+from marketfold.llm.common import quoted, staged, whole_text
 
 WINDOW = 13
 BLOCK_WINDOWS = 100_000
@@ -76,15 +79,16 @@ def contamination(
     )
     of_item = staged(item_windows(benchmark, window, item_col, item_text_col))
     windows = staged(of_item.select("words").distinct().withColumn("window", F.expr("uuid()")))
-    blocks = max(1, -(-windows.count() // block_windows))
-    prefixes = staged(_prefixes(texts, windows, blocks))
+    prefixes, blocks = _in_blocks(_prefixes(texts, windows, block_windows), block_windows)
+    if blocks > 1:
+        texts = staged(texts)
 
     sentinel = prefixes.sparkSession.range(1).select(
         F.lit(NO_WORD).alias("word"),
         F.lit(0).alias("offset"),
         F.array().cast("array<string>").alias("passage"),
         F.lit(None).cast("string").alias("window"),
-        F.lit(0).alias("block"),
+        F.lit(0).cast("long").alias("block"),
     )
     probed = prefixes.unionByName(sentinel)
     found = [_occurrences(texts, probed.filter(F.col("block") == b)) for b in range(blocks)]
@@ -126,10 +130,18 @@ def keep_clean(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated; rows without an id stay."""
-    found = contamination(docs, benchmark, window, id_col, text_col, item_col, item_text_col)
-    dropped = found.filter(is_contaminated("n_words", "n_hit")).select(id_col).distinct()
-    return docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are not contaminated.
+
+    A row goes by its own text alone: a clean row stays whatever its id, and a contaminated one goes
+    without an id, too. ``id_col`` is not read.
+    """
+    (key,) = free_names(docs, "text_key")
+    digest = F.sha2(F.encode(whole_text(quoted(text_col)), "UTF-8"), 256)
+    keyed = docs.select(digest.alias(key), F.col(quoted(text_col)).alias("text"))
+    found = contamination(keyed, benchmark, window, key, "text", item_col, item_text_col)
+    dropped = found.filter(is_contaminated("n_words", "n_hit")).select(key).distinct()
+    columns = [F.col(quoted(name)) for name in docs.columns]
+    return docs.withColumn(key, digest).join(dropped, key, "left_anti").select(*columns)
 
 
 def is_contaminated(n_words: str, n_hit: str) -> Column:
@@ -137,14 +149,26 @@ def is_contaminated(n_words: str, n_hit: str) -> Column:
     return (F.col(n_hit) > 0) & (F.col(n_hit) * 20 >= F.col(n_words))
 
 
-def _prefixes(texts: DataFrame, windows: DataFrame, blocks: int) -> DataFrame:
-    """(word, offset, passage, window, block): every window under its rarest word."""
+def _in_blocks(df: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """``df`` staged with a number ``block``, at most ``most`` rows of each, and the number of blocks."""
+    numbered = staged(df.withColumn("block", F.monotonically_increasing_id()))
+    # Such an id is the number of the partition and, in the lower bits, the row's in it.
+    part, place = F.shiftright("block", 33), F.col("block").bitwiseAND((1 << 33) - 1)
+    counts = numbered.groupBy(part.alias("part")).count().collect()  # a row for each partition
+    before, rows = [F.lit(-1).cast("long"), F.lit(0).cast("long")], 0
+    for row in sorted(counts):
+        before += [F.lit(row["part"]), F.lit(rows).cast("long")]
+        rows += row["count"]
+    number = F.create_map(*before)[part] + place
+    return numbered.withColumn("block", F.floor(number / most)), max(1, -(-rows // most))
+
+
+def _prefixes(texts: DataFrame, windows: DataFrame, most: int) -> DataFrame:
+    """(word, offset, passage, window): every window all of whose words occur, under its rarest word."""
     placed = windows.select(
         "window", F.col("words").alias("passage"), F.posexplode("words").alias("offset", "word")
     )
-    vocabulary = staged(
-        placed.select("word").distinct().withColumn("block", F.pmod(F.xxhash64("word"), F.lit(blocks)))
-    )
+    vocabulary, blocks = _in_blocks(placed.select("word").distinct(), most)
     words = texts.select(F.explode("words").alias("word"))
     counted = [
         words.join(F.broadcast(vocabulary.filter(F.col("block") == b).select("word")), "word")
@@ -157,19 +181,12 @@ def _prefixes(texts: DataFrame, windows: DataFrame, blocks: int) -> DataFrame:
         placed.join(seen, "word", "left")
         .groupBy("window")
         .agg(
-            F.min_by(
-                F.struct("word", "offset", "passage"),
-                F.struct(F.coalesce("seen", F.lit(0)), "word", "offset"),
-            ).alias("first")
+            F.min(F.coalesce("seen", F.lit(0))).alias("least"),
+            F.min_by(F.struct("word", "offset", "passage"), F.struct("seen", "word", "offset")).alias("first"),
         )
+        .filter("least > 0")
     )
-    return rarest.select(
-        "first.word",
-        "first.offset",
-        "first.passage",
-        "window",
-        F.pmod(F.xxhash64("first.word"), F.lit(blocks)).cast("int").alias("block"),
-    )
+    return rarest.select("first.word", "first.offset", "first.passage", "window")
 
 
 def _occurrences(texts: DataFrame, prefixes: DataFrame) -> DataFrame:

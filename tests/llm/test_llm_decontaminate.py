@@ -93,3 +93,47 @@ def test_one_scan_joins_the_prefixes_without_shuffling_texts(spark, docs):
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
     assert [(r.start, r.end) for r in found.collect()] == [(1, 3)]
+
+
+def test_rows_go_one_by_one_whatever_their_ids(spark, docs):
+    passage = " ".join(f"b{i}" for i in range(13))
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    rows = [(1, passage), (1, "clean"), (None, passage), (None, None), (2, passage.upper()), (2, "")]
+    table = docs(rows).withColumnRenamed("id", "text_key").withColumnRenamed("row", "of.row")
+    left = decontaminate.keep_clean(table, benchmark)
+    assert left.columns == table.columns
+    kept = sorted((r.doc_id or 0, r.text or "") for r in left.collect())
+    assert kept == [(0, ""), (1, "clean"), (2, "")]
+
+
+def test_blocks_hold_at_most_their_number_of_windows(spark, docs):
+    # One word stands in every window: seen least of all, or in no document.
+    items = [(i, f"w{i} v{i} common x{i}") for i in range(300)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    of_item = decontaminate.item_windows(benchmark, 4, "item_id", "text")
+    windows = of_item.select("words").distinct().withColumn("window", decontaminate.F.expr("uuid()"))
+    windows = decontaminate.staged(windows.repartition(5))
+
+    def prefixes(texts):
+        split = docs(texts).select(decontaminate.words_of("text").alias("words"))
+        return decontaminate._in_blocks(decontaminate._prefixes(split, windows, 7), 7)
+
+    seen = [(i, f"w{i} v{i} x{i} w{i} v{i} x{i}" + " common" * (i < 1)) for i in range(300)]
+    found, blocks = prefixes(seen)
+    sizes = [r["count"] for r in found.groupBy("block").count().collect()]
+    assert (sum(sizes), max(sizes), blocks) == (300, 7, 43)
+    assert {r.word for r in found.collect()} == {"common"}
+    unseen, blocks = prefixes([(i, t.replace("common", "")) for i, t in seen])
+    assert (unseen.count(), blocks) == (0, 1)
+
+
+def test_very_long_texts_and_a_benchmark_with_other_columns(spark, docs):
+    passage = " ".join(f"b{i}" for i in range(13))
+    benchmark = spark.createDataFrame(
+        [(7, passage, 1, "w")], "item_id long, text string, row int, words string"
+    )
+    long = " ".join(f"a{i}" for i in range(60_000))
+    rows = [(1, f"{long} {passage} {long}"), (2, long), (3, "z" * 300_000), (4, f"{passage} " * 3000)]
+    found = decontaminate.contamination(docs(rows), benchmark).collect()
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found}
+    assert got == {1: (120_013, 13, ["7"]), 2: (60_000, 0, []), 3: (1, 0, []), 4: (39_000, 39_000, ["7"])}
