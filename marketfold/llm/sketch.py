@@ -8,9 +8,10 @@ to three of ``CELLS`` cells, one in each third; a cell keeps the number, the exc
 and of their check values. Subtracting the sketches of two versions leaves the digests in which they
 differ. Cells with one digest left give it away; taking it out of its other cells frees more (peeling).
 
-If peeling stops early, the pair is tried again with a larger sketch: eight sketches, each for the
-digests with the same three bits and with hash functions of its own; of these, the ones that fail are split
-again by the next three bits. So sketches stay small and the work grows with the digests.
+If peeling stops early, the pair is tried again with a larger sketch: two to eight sketches, as many as its
+digests need, each for the digests of one share by a hash and with hash functions of its own; of these, the
+ones that fail are split again by another hash. A share of more than ``MOST_TRIED`` digests, far more than a
+sketch holds, is split without a try. So sketches stay small and the work grows with the digests.
 
 Everything is DataFrame and SQL functions. Null text counts as empty. Two empty texts are alike (1).
 The next document is that with the next greater id (nulls first, equal ids by a hash of the text), after
@@ -34,10 +35,15 @@ ROUNDS = 16
 GROUP_ROWS = 1024
 MOST_GROUPS = 16_384
 
-# Where sentences end, with or without a closing quote or bracket, and where words do.
-PARAGRAPH_END = (
-    r"\n|(?<=[.!?…؟۔।॥։።])[ \t\u00a0]+|(?<=[.!?…؟۔।॥։።][\"'”’»)\]])[ \t\u00a0]+|(?<=[。！？｡])"
+# Where sentences end, with or without a closing quote or bracket, and where words do. A blank
+# is looked for first, as that costs least; only texts with a full stop that needs no blank look for those.
+BLANK_END = (
+    r"[\n \t\u00a0](?:(?<=\n)|(?:(?<=[.!?…؟۔।॥։።][ \t\u00a0])"
+    r"|(?<=[.!?…؟۔।॥։።][\"'”’»)\]][ \t\u00a0]))[ \t\u00a0]*)"
 )
+WIDE_STOPS = "。！？｡"
+PARAGRAPH_END = rf"{BLANK_END}|(?<=[{WIDE_STOPS}])"
+PLAIN_WORD_END = r"(?<=\s)"
 WORD_END = (
     r"(?<=[\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 )
@@ -45,6 +51,10 @@ WORD_END = (
 LONG = 160
 LONG_WORD = 64
 PIECE_WORDS = 16
+# Digests of both sides for which a larger sketch has room: an edit keeps about half of them.
+ROOM = {"edit": 2 * THIRD + THIRD // 2, "next": THIRD + THIRD // 2}
+MOST_SHARES = 8
+MOST_TRIED = 3 * CELLS
 
 _EMPTY = "named_struct('n', 0, 'k', 0L, 'h', 0)"
 
@@ -73,7 +83,9 @@ def _cells_of(entries: str, start: str, step: int, cell: str) -> str:
 
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of the paragraphs that are not blank."""
-    parts = F.filter(F.split(text, PARAGRAPH_END), lambda part: F.trim(part) != "")
+    wide = reduce(Column.__or__, [F.contains(text, F.lit(stop)) for stop in WIDE_STOPS])
+    ended = F.when(wide, F.split(text, PARAGRAPH_END)).otherwise(F.split(text, BLANK_END))
+    parts = F.filter(ended, lambda part: F.trim(part) != "")
     digest = F.transform(
         parts,
         lambda part: F.when(
@@ -85,9 +97,10 @@ def digests(text: Column) -> Column:
 
 def _pieces(part: Column) -> Column:
     """A long sentence cut by its content; it holds no line end, so that one can mark the cuts."""
+    plain = F.octet_length(part) == F.char_length(part)
     words = F.flatten(
         F.transform(
-            F.split(part, WORD_END),
+            F.when(plain, F.split(part, PLAIN_WORD_END)).otherwise(F.split(part, WORD_END)),
             lambda word: F.when(F.char_length(word) > LONG_WORD, F.split(word, "")).otherwise(F.array(word)),
         )
     )
@@ -193,7 +206,8 @@ def compare_with_edit(
         F.substring("text", F.lit(1), F.char_length("text") - half),
         F.substring(F.col("next_text"), F.lit(1), half),
     )
-    texts = versions.select("id", "text", edited.alias("edited"), "digests", "next_digests").select(
+    kept = ("digests", "next_digests", "cells", "next_cells")
+    texts = versions.select("id", "text", edited.alias("edited"), *kept).select(
         F.monotonically_increasing_id().alias("row"),
         "id",
         F.char_length("text").cast("long").alias("n_chars"),
@@ -201,14 +215,10 @@ def compare_with_edit(
         F.col("digests").alias("own"),
         digests(F.col("edited")).alias("of_edited"),
         F.col("next_digests").alias("of_next"),
+        F.col("cells").alias("own_cells"),
+        "next_cells",
     )
-    sketches = texts.withColumns(
-        {
-            "own_cells": F.expr(cells_sql("own")),
-            "edited_cells": F.expr(cells_sql("of_edited")),
-            "next_cells": F.expr(cells_sql("of_next")),
-        }
-    )
+    sketches = texts.withColumn("edited_cells", F.expr(cells_sql("of_edited")))
     peeled = sketches.withColumns(
         {
             "edit": F.expr(peel_sql(subtract_sql("own_cells", "edited_cells"))),
@@ -252,7 +262,7 @@ def compare_with_edit(
 
 
 def _with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, digests, next_text, next_digests) of every row; the text is shuffled once.
+    """(id, text, digests, cells) of every row and of the next; only the text is shuffled, once.
 
     Rows are grouped by range of id. Each group also gets a copy of the first row of the group after
     it, the last group of the first one, so that the next row is always at hand.
@@ -281,20 +291,18 @@ def _with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "id", "text", F.col("to").alias("part"), F.lit(True).alias("copy")
     )
     all_rows = grouped.withColumn("copy", F.lit(False)).unionByName(copies)
-    all_rows = all_rows.withColumn("digests", digests(F.col("text")))
-    order = Window.partitionBy("part").orderBy("copy", "id", F.xxhash64("text"))
-    return (
-        all_rows.select(
-            "id",
-            "text",
-            "copy",
-            "digests",
-            F.lead("text").over(order).alias("next_text"),
-            F.lead("digests").over(order).alias("next_digests"),
-        )
-        .filter("NOT copy")
-        .drop("copy")
+    keys = ("copy", "id", "text_hash")
+    sorted_rows = (
+        all_rows.withColumn("text_hash", F.xxhash64("text"))
+        .repartition("part")
+        .sortWithinPartitions("part", *keys)
+        .withColumn("digests", digests(F.col("text")))
+        .withColumn("cells", F.expr(cells_sql("digests")))
     )
+    order = Window.partitionBy("part").orderBy(*keys)
+    taken = ("text", "digests", "cells")
+    with_next = [F.lead(name).over(order).alias(f"next_{name}") for name in taken]
+    return sorted_rows.select("id", *taken, "copy", *with_next).filter("NOT copy").drop("copy")
 
 
 def _part(number: Column, bounds: list[float]) -> Column:
@@ -319,19 +327,32 @@ def _larger_sketches(first: DataFrame) -> DataFrame:
     ]
     failed = reduce(DataFrame.unionAll, pairs)
     level, recovered = 0, []
+    room = F.when(F.col("pair") == "edit", ROOM["edit"]).otherwise(ROOM["next"])
     while True:
         level += 1
-        bits = f"pmod(shiftrightunsigned(k, {3 * (level - 1)}), 8) = piece"
-        split = failed.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(7)))).select(
-            "row",
-            "pair",
-            F.expr(f"filter(a, k -> {bits})").alias("a"),
-            F.expr(f"filter(b, k -> {bits})").alias("b"),
+        shares = F.greatest(F.lit(2), F.least(F.lit(MOST_SHARES), F.ceil((F.size("a") + F.size("b")) / room)))
+        mine = f"pmod(xxhash64(k, {level}), shares) = share"
+        split = (
+            failed.withColumn("shares", shares.cast("int"))
+            .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+            .select("row", "pair", F.expr(f"filter(a, k -> {mine})").alias("a"), F.expr(f"filter(b, k -> {mine})").alias("b"))
         )
         difference = subtract_sql(cells_sql("a", level), cells_sql("b", level))
-        tried = staged(split.withColumn("peeled", F.expr(peel_sql(difference, level))))
-        recovered.append(tried.filter("peeled.ok").select("row", "pair", "peeled.a"))
-        failed = tried.filter("NOT peeled.ok").select("row", "pair", "a", "b")
+        few = F.size("a") + F.size("b") <= MOST_TRIED
+        peeled = split.withColumn("peeled", F.when(few, F.expr(peel_sql(difference, level))))
+        left = ~F.coalesce("peeled.ok", F.lit(False))
+        tried = staged(
+            peeled.select(
+                "row",
+                "pair",
+                left.alias("left"),
+                F.col("peeled.a").alias("only"),
+                F.when(left, F.col("a")).alias("a"),
+                F.when(left, F.col("b")).alias("b"),
+            )
+        )
+        recovered.append(tried.filter("NOT left").select("row", "pair", F.col("only").alias("a")))
+        failed = tried.filter("left").select("row", "pair", "a", "b")
         if failed.isEmpty():
             break
     found = reduce(DataFrame.unionAll, recovered).groupBy("row")
