@@ -12,7 +12,8 @@ A payload starts with a header and its plane index, then come the planes. Ids ar
 plane of the chunk is compressed with zstandard. Planes above the highest bit in use are left out.
 
 Documents keep ascending order of id: a range partitioning on the id and a sort inside each part.
-Documents with the same id are ordered by text; a null id comes first. Null text counts as empty.
+Documents with the same id are ordered by a hash of the text, then by text; a null id comes first. Null
+text counts as empty.
 """
 
 from __future__ import annotations
@@ -101,7 +102,9 @@ def write_ids(
     folder = folder or f"{checkpoint_dir(spark)}/ids-{uuid.uuid4().hex}"
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    ordered = texts.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
+    # Sorted by what the range goes by, so that any partitioning gives one order.
+    order = ("id", F.xxhash64("text"))
+    ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     chunks = ordered.mapInArrow(
         functools.partial(
             _to_chunks, path=tokenizer_path, end=struct.pack("<I", end_id), block=block

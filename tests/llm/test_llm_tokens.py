@@ -134,3 +134,18 @@ def test_memory_forgets_what_was_not_needed_for_long():
     assert len(memory) + len(memory.older) <= 9
     assert memory["x" * 100] == b"x" * 100
     assert "x" * 100 not in memory
+
+
+def test_documents_of_one_id_stand_in_one_order_on_any_partitioning(spark, docs):
+    rows = [(7, f"text {i} " + "word " * (i % 9)) for i in range(500)] + [(7, "again")] * 3 + [(None, "x")] * 2
+    starts, shuffles = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions in (1, 8):
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            folder = bitplane.write_ids(docs(rows).repartition(3), WORDS, end_id=2)
+            found = bitplane.read_ids(spark, folder).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        starts.append(sorted((r.start, r.n_tokens, bytes(r.ids)) for r in found))
+    assert len(starts[0]) == len(rows)
+    assert starts[0] == starts[1]
