@@ -5,6 +5,10 @@ each of them finds its lowest-ranked pair, and all places of that pair merge at
 without a known pair is done. Only the number of its symbols is kept. This equals merging one place at
 a time, since a merge can only make pairs of higher rank than its own.
 
+A round passes over all symbols that are left, which a long pre-token with pairs of many ranks cannot afford. One of more
+than ``LONG`` bytes has its places filed under the rank of their pair: a round takes up the places of the
+lowest rank and files only their neighbours anew.
+
 For tokenizers of words in lower case that end in a mark and drop white space. Null text counts as
 empty. Repeated rows give repeated results, a null document id is kept, other columns are not read.
 """
@@ -12,7 +16,9 @@ empty. Repeated rows give repeated results, a null document id is kept, other co
 from __future__ import annotations
 
 import functools
+import heapq
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +35,9 @@ END_OF_WORD = "</w>"
 # Texts that are counted together.
 TEXTS = 64
 
+# Bytes from which on the places of a pre-token are filed by rank.
+LONG = 1024
+
 
 class Ranks:
     """The vocabulary's merges as sorted arrays."""
@@ -43,6 +52,7 @@ class Ranks:
         self.keys = keys[order]
         self.rank = order.astype(np.int32)
         self.merged = np.array([to for _, _, to in pairs], np.int64)[order]
+        self.made = np.array([to for _, _, to in pairs], np.int64)
         self.none = len(pairs)
         letter = byte_letters()
         self.inner = np.array([vocabulary[letter[b]] for b in range(256)], np.int64)
@@ -52,6 +62,16 @@ class Ranks:
         """Symbols that survive in each of ``tokens``, none of them empty."""
         data = [token.encode() for token in tokens]
         length = np.fromiter(map(len, data), np.int64, len(data))
+        counts = np.zeros(len(data), np.int64)
+        long = length > LONG
+        for i in np.flatnonzero(long):
+            counts[i] = self._count_long(data[i])
+        short = np.flatnonzero(~long)
+        if len(short):
+            counts[short] = self._count_side_by_side([data[i] for i in short], length[short])
+        return counts
+
+    def _count_side_by_side(self, data: list[bytes], length: np.ndarray) -> np.ndarray:
         flat = np.frombuffer(b"".join(data), np.uint8)
         symbols = self.inner[flat]
         ends = np.cumsum(length) - 1
@@ -86,6 +106,60 @@ class Ranks:
             symbols, owner = symbols[live], owner[live]
         return counts
 
+    def _count_long(self, data: bytes) -> int:
+        """Symbols that survive in one long pre-token; the work follows its merges."""
+        symbols = self.inner[np.frombuffer(data, np.uint8)]
+        symbols[-1] = self.last[data[-1]]
+        size = left = len(symbols)
+        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        # The rank of the pair that begins at each place; merged symbols and the last one have none.
+        rank = np.full(size, self.none, np.int64)
+        filed: dict[int, list[np.ndarray]] = defaultdict(list)
+        waiting: list[int] = []
+
+        def file(places: np.ndarray) -> None:
+            # Places whose symbol or neighbour is new, in order.
+            inside = places[after[places] < size]
+            rank[places] = self.none
+            rank[inside] = self._ranks(symbols[inside], symbols[after[inside]])
+            known = inside[rank[inside] < self.none]
+            if not len(known):
+                return
+            known = known[np.argsort(rank[known], kind="stable")]
+            firsts = np.flatnonzero(np.append(True, np.diff(rank[known]) > 0))
+            for each, same in zip(rank[known[firsts]].tolist(), np.split(known, firsts[1:]), strict=True):
+                if each not in filed:
+                    heapq.heappush(waiting, each)
+                filed[each].append(same)
+
+        file(np.arange(size))
+        while waiting:
+            lowest = heapq.heappop(waiting)
+            places = np.unique(np.concatenate(filed.pop(lowest)))
+            places = places[rank[places] == lowest]
+            if not len(places):
+                continue
+            # Of overlapping places ("aaa") every other one counts, from the left.
+            first = np.append(True, after[places[:-1]] != places[1:])
+            number = np.arange(len(places))
+            places = places[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
+            gone = after[places]
+            next_one = after[gone]
+            symbols[places] = self.made[lowest]
+            rank[gone] = self.none
+            after[places] = next_one
+            inner = next_one < size
+            before[next_one[inner]] = places[inner]
+            left -= len(places)
+            ahead = before[places]
+            file(np.unique(np.concatenate([places, ahead[ahead >= 0]])))
+        return left
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], self.none)
+
 
 @functools.cache
 def ranks(path: str) -> Ranks:

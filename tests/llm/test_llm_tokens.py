@@ -87,6 +87,30 @@ def test_counts_equal_the_library(docs):
     assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in found} == expected
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "aéß中x", "=-!"])
+def test_long_words_are_counted_like_the_library(letters):
+    pick = random.Random(8)
+    for size in (counts.LONG - 1, counts.LONG, counts.LONG + 1, 5001, 20_000):
+        word = "".join(pick.choice(letters) for _ in range(size))
+        assert counts.count_texts([word], WORDS) == [len(library(WORDS, [word])[0])]
+
+
+def test_a_word_of_a_million_letters_takes_work_by_its_merges(monkeypatch):
+    pick = random.Random(9)
+    word = "".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    looked_up, ranks_of = [], counts.Ranks._ranks
+
+    def counted(self, left, right):
+        looked_up.append(len(left))
+        return ranks_of(self, left, right)
+
+    monkeypatch.setattr(counts.Ranks, "_ranks", counted)
+    tokens = counts.count_texts([word], WORDS)
+    assert tokens == [len(library(WORDS, [word])[0])]
+    # Each merge files at most two places anew.
+    assert sum(looked_up) <= len(word) + 2 * (len(word) - tokens[0])
+
+
 def test_word_ids_equal_the_library():
     texts = random_texts(1500, seed=4)
     for text, ids in zip(texts, library(WORDS, texts), strict=True):
