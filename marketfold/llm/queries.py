@@ -61,6 +61,7 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
         *[number(i).alias(f"n_{name}") for i, name in enumerate(pii.KINDS[: pii.BASE])],
         F.sha2(_spans(F.col("base")), 256).alias("base_sha256"),
         _spans(F.concat("base", "added")).alias("spans"),
+        (F.size("base") + F.size("added")).cast("long").alias("n_spans"),
     )
 
 
