@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import zlib
@@ -231,6 +232,45 @@ def test_spans_are_added_but_never_over_base_spans(docs):
     assert pii.find_spans(docs([])).collect() == []
 
 
+def test_added_spans_among_look_alikes(docs):
+    pick = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    fill = "the report was sent to all members of the team before noon".split()
+
+    def around(span, before):
+        words = [pick.choice(fill) for _ in range(24)]
+        return " ".join(words[:12]), f"{before}{span}", " ".join(words[12:])
+
+    private = {
+        "secret": lambda: ("".join(pick.choice(letters) for _ in range(32)), "api key = "),
+        "phone": lambda: (f"{pick.randint(200, 989)}-555-{pick.randint(1000, 9999)}", "call "),
+        "ssn": lambda: (f"{pick.randint(100, 665)}-{pick.randint(10, 99)}-{pick.randint(1000, 9999)}", "ssn "),
+    }
+    public = (
+        lambda: ("internationalisation" + pick.choice(fill), "about "),
+        lambda: (f"{pick.randint(10, 99)}.{pick.randint(100, 999)}", "version "),
+        lambda: (f"{pick.randint(100, 999)}-{pick.randint(100, 999)}", "section "),
+        lambda: ("====================" + "-" * pick.randint(1, 9), ""),
+    )
+    rows, planted = [], {}
+    for i in range(600):
+        kind = pick.choice(sorted(private)) if i % 3 == 0 else None
+        span, before = private[kind]() if kind else pick.choice(public)()
+        head, middle, tail = around(span, before)
+        rows.append((i, f"{head} {middle} {tail}"))
+        if kind:
+            planted[i] = (kind, span)
+    texts = dict(rows)
+    found = {
+        (r.doc_id, (pii.KINDS[s.kind], texts[r.doc_id][s.start : s.end]))
+        for r in pii.find_spans(docs(rows)).collect()
+        for s in r.added
+    }
+    right = found & set(planted.items())
+    assert len(right) >= 0.95 * len(planted)
+    assert len(right) >= 0.95 * len(found)
+
+
 # --- transcripts -----------------------------------------------------------------------------------
 
 
@@ -286,6 +326,19 @@ def test_blocks_of_any_length_share_the_best_path(model):
         assert joined + chat.decode(model, emission[cut:], int(middle), int(end)) == whole
 
 
+def test_the_path_is_the_best_of_all_paths(model):
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 3, 4, 5, 5):
+        emission = rng.normal(scale=3, size=(size, chat.STATES))
+
+        def score(path, emission=emission):
+            steps = sum(model.step[a, b] for a, b in itertools.pairwise(path))
+            return model.start[path[0]] + steps + emission[range(len(path)), path].sum()
+
+        best = max(itertools.product(range(chat.STATES), repeat=size), key=score)
+        assert chat.decode(model, emission, None, None) == list(best)
+
+
 def test_odd_transcripts(spark, model):
     rows = [(1, None, "User: a"), (1, 0, None), (1, 0, "Assistant: b"), (None, 5, "[user] q?"), (2, 3, "")]
     rows += [(3, 1, "User: x"), (3, 1, "User: x")]
