@@ -8,7 +8,7 @@ to three of ``CELLS`` cells, one in each third; a cell keeps the number, the exc
 and of their check values. Subtracting the sketches of two versions leaves the digests in which they
 differ. Cells with one digest left give it away; taking it out of its other cells frees more (peeling).
 
-If peeling stops early, the pair is tried again with a larger sketch: two to eight sketches, as many as its
+If peeling stops early, the pair is tried again with a larger sketch: two to 64 sketches, as many as its
 digests need, each for the digests of one share by a hash and with hash functions of its own; of these, the
 ones that fail are split again by another hash. A share of more than ``MOST_TRIED`` digests, far more than a
 sketch holds, is split without a try. So sketches stay small and the work grows with the digests.
@@ -53,7 +53,7 @@ LONG_WORD = 64
 PIECE_WORDS = 16
 # Digests of both sides for which a larger sketch has room: an edit keeps about half of them.
 ROOM = {"edit": 2 * THIRD + THIRD // 2, "next": THIRD + THIRD // 2}
-MOST_SHARES = 8
+MOST_SHARES = 64
 MOST_TRIED = 3 * CELLS
 
 _EMPTY = "named_struct('n', 0, 'k', 0L, 'h', 0)"
@@ -64,19 +64,25 @@ def _let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+def _cell(key: str, third: int, salt: int) -> str:
+    """The cell of a digest in a third."""
+    return f"pmod(hash({key}, {third + 1}, {salt}), {THIRD})"
+
+
 def _mask(key: str, salt: int) -> str:
     """The three cells of a digest as bits of a number."""
-    bits = (
-        f"shiftleft(1L, {i * THIRD} + pmod(hash({key}, {i + 1}, {salt}), {THIRD}))" for i in range(3)
-    )
+    bits = (f"shiftleft(1L, {i * THIRD} + {_cell(key, i, salt)})" for i in range(3))
     return " | ".join(bits)
 
 
 def _cells_of(entries: str, start: str, step: int, cell: str) -> str:
     """Array of the cells from ``start`` on, four times ``step`` of them; entries are dealt out by fours."""
     bits = str((1 << step) - 1) + "L"
-    own = f"filter({entries}, e -> (shiftright(e.m, i{step}) & {bits}) <> 0L)"
-    inner = cell.format(own=own) if step == 1 else _let(own, f"own{step}", _cells_of(f"own{step}", f"i{step}", step // 4, cell))
+    if step == 1:
+        inner = _let(f"filter({entries}, e -> getbit(e.m, i{step}) = 1)", "own", cell)
+    else:
+        own = f"filter({entries}, e -> (shiftright(e.m, i{step}) & {bits}) <> 0L)"
+        inner = _let(own, f"own{step}", _cells_of(f"own{step}", f"i{step}", step // 4, cell))
     each = f"transform(sequence({start}, {start} + {3 * step}, {step}), i{step} -> {inner})"
     return each if step == 1 else f"flatten({each})"
 
@@ -98,18 +104,21 @@ def digests(text: Column) -> Column:
 def _pieces(part: Column) -> Column:
     """A long sentence cut by its content; it holds no line end, so that one can mark the cuts."""
     plain = F.octet_length(part) == F.char_length(part)
-    words = F.flatten(
-        F.transform(
-            F.when(plain, F.split(part, PLAIN_WORD_END)).otherwise(F.split(part, WORD_END)),
-            lambda word: F.when(F.char_length(word) > LONG_WORD, F.split(word, "")).otherwise(F.array(word)),
+    parted = F.when(plain, F.split(part, PLAIN_WORD_END)).otherwise(F.split(part, WORD_END))
+
+    def by_character(words: Column) -> Column:
+        letters = F.transform(
+            words, lambda word: F.when(F.char_length(word) > LONG_WORD, F.split(word, "")).otherwise(F.array(word))
         )
-    )
+        return F.when(F.exists(words, lambda word: F.char_length(word) > LONG_WORD), F.flatten(letters)).otherwise(words)
+
+    words = F.element_at(F.transform(F.array(parted), by_character), 1)
 
     def marked(all_words: Column) -> Column:
         # No cut inside a run of one word: it would make pieces that are all alike.
         def ends(word: Column, i: Column) -> Column:
             before = F.get(all_words, i - 1)
-            return (before != word) & (F.pmod(F.hash(before, word), F.lit(PIECE_WORDS)) == 0)
+            return (F.pmod(F.hash(before, word), F.lit(PIECE_WORDS)) == 0) & (before != word)
 
         return F.transform(
             all_words, lambda word, i: F.when(ends(word, i), F.concat(word, F.lit("\n"))).otherwise(word)
@@ -124,13 +133,29 @@ def cells_sql(keys: str, salt: int = 0) -> str:
     entries = (
         f"transform({keys}, k -> named_struct('k', k, 'h', hash(k, 0, {salt}), 'm', {_mask('k', salt)}))"
     )
-    added = "named_struct('n', x.n + 1, 'k', x.k ^ e.k, 'h', x.h ^ e.h)"
-    cell = f"aggregate({{own}}, {_EMPTY}, (x, e) -> {added})"
+    # The number is a size and the rest two sums: a struct for each cell and not for each entry.
+    sums = "'k', aggregate(own, 0L, (x, e) -> x ^ e.k), 'h', aggregate(own, 0, (x, e) -> x ^ e.h)"
+    cell = f"IF(size(own) = 0, {_EMPTY}, named_struct('n', size(own), {sums}))"
     # An entry is in one cell of each third; it is looked for in four groups of four cells.
     third = _cells_of("entries", "t", THIRD // 4, cell)
     return _let(entries, "entries", f"flatten(transform(sequence(0, {CELLS - THIRD}, {THIRD}), t -> {third}))")
 
 
+def _dealt(keys: str, number: str, count: str) -> str:
+    """Array of ``count`` arrays: the digests k of ``keys`` by ``number``, a number of k from 0 on.
+
+    Places in the array are sorted by number, with a mark before each number. So the work grows with the
+    digests and not with their product with ``count``.
+    """
+    marks = f"sequence(-1L, shiftleft(CAST({count} AS BIGINT), 32) - 1L, {1 << 32}L)"
+    places = f"sort_array(concat(transform(ks, (k, p) -> shiftleft(CAST({number} AS BIGINT), 32) + p), {marks}))"
+    begins = f"transform({marks}, mark -> CAST(array_position(places, mark) AS INT))"
+    size = "begins[c + 1] - begins[c] - 1"
+    each = f"transform(slice(places, begins[c] + 1, {size}), p -> ks[CAST(p & {(1 << 32) - 1}L AS INT)])"
+    groups = f"transform(sequence(0, {count} - 1), c -> {each})"
+    return _let(keys, "ks", _let(places, "places", _let(begins, "begins", groups)))
+
+
 def subtract_sql(a: str, b: str) -> str:
     """The sketch of what is in ``a`` (counted up) or in ``b`` (counted down) only."""
     return (
@@ -140,38 +165,49 @@ def subtract_sql(a: str, b: str) -> str:
 
 def peel_sql(cells: str, salt: int = 0) -> str:
     """struct(ok, a, b): whether all was recovered, and how many digests on either side."""
-    pure = (
-        "array_distinct(transform("
-        f"filter(state.cells, c -> abs(c.n) = 1 AND c.h = hash(c.k, 0, {salt})), "
-        f"c -> named_struct('k', c.k, 'h', c.h, 's', c.n, 'm', {_mask('c.k', salt)})))"
-    )
+    pure = f"filter(state.cells, c -> (c.n = 1 OR c.n = -1) AND c.h = hash(c.k, 0, {salt}))"
+
+    def only(n: int) -> str:
+        return f"array_distinct(transform(filter(pure, c -> c.n = {n}), c -> c.k))"
+
+    def entries(side: str, n: int) -> str:
+        entry = f"named_struct('h', hash(k, 0, {salt}), 'k', k, 's', {n}, 'm', {_mask('k', salt)})"
+        return f"transform({side}, k -> {entry})"
+
+    found = f"concat({entries('up', 1)}, {entries('down', -1)})"
     taken = "named_struct('n', x.n - e.s, 'k', x.k ^ e.k, 'h', x.h ^ e.h)"
-    rest = (
-        "transform(state.cells, (c, i) -> "
-        f"aggregate(filter(found, e -> getbit(e.m, i) = 1), c, (x, e) -> {taken}))"
-    )
-    after = (
-        f"named_struct('cells', {rest}, "
-        "'a', state.a + size(filter(found, e -> e.s = 1)), "
-        "'b', state.b + size(filter(found, e -> e.s = -1)))"
+    # Only the cells of what was found change.
+    changed = f"aggregate(filter(found, e -> getbit(e.m, i) = 1), c, (x, e) -> {taken})"
+    rest = _let(
+        "aggregate(found, 0L, (x, e) -> x | e.m)",
+        "hit",
+        f"transform(state.cells, (c, i) -> IF(getbit(hit, i) = 0, c, {changed}))",
     )
-    step = _let(pure, "found", f"IF(size(found) = 0, state, {after})")
+    after = f"named_struct('cells', {rest}, 'a', state.a + size(up), 'b', state.b + size(down), 'on', true)"
+    after = _let(only(1), "up", _let(only(-1), "down", _let(found, "found", after)))
+    ended = "named_struct('cells', state.cells, 'a', state.a, 'b', state.b, 'on', false)"
+    step = f"IF(state.on, {_let(pure, 'pure', f'IF(size(pure) = 0, {ended}, {after})')}, state)"
     left = "exists(state.cells, c -> c.n <> 0 OR c.k <> 0L OR c.h <> 0)"
     return (
-        f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'a', 0, 'b', 0), "
+        f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'a', 0, 'b', 0, 'on', true), "
         f"(state, round) -> {step}, "
         f"state -> named_struct('ok', NOT {left}, 'a', state.a, 'b', state.b))"
     )
 
 
-def written_sql(cells: str) -> str:
-    """A sketch as text: number, digests and check values of its cells."""
+def packed_sql(cells: str) -> str:
+    """A sketch as bytes: number, digests and check values of its cells."""
     # The hexadecimal form of a negative int has 16 digits, of which the last eight are its own.
     cell = (
         "concat(right(concat('0000000', hex(c.n)), 8), lpad(hex(c.k), 16, '0'), "
         "right(concat('0000000', hex(c.h)), 8))"
     )
-    return f"base64(unhex(array_join(transform({cells}, c -> {cell}), '')))"
+    return f"unhex(array_join(transform({cells}, c -> {cell}), ''))"
+
+
+def written_sql(cells: str) -> str:
+    """A sketch as text."""
+    return f"base64({packed_sql(cells)})"
 
 
 def read_sql(written: str) -> str:
@@ -231,8 +267,8 @@ def compare_with_edit(
             "id",
             "n_chars",
             F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-            F.expr(written_sql("own_cells")).alias("fingerprint"),
-            F.expr(written_sql("edited_cells")).alias("edited_fingerprint"),
+            F.expr(packed_sql("own_cells")).alias("fingerprint"),
+            F.expr(packed_sql("edited_cells")).alias("edited_fingerprint"),
             F.size("own").alias("n_own"),
             F.size("of_edited").alias("n_edited"),
             F.size("of_next").alias("n_next"),
@@ -243,19 +279,24 @@ def compare_with_edit(
             F.when(~F.col("next.ok"), F.col("of_next")).alias("of_next"),
         )
     )
-    again = _larger_sketches(first)
+    # Only pairs that were tried again are joined: fingerprints are most of what a row holds.
+    peeled_at_once = F.col("edit.ok") & F.col("next.ok")
+    again = first.filter(~peeled_at_once).join(_larger_sketches(first), "row", "left")
+    whole = first.filter(peeled_at_once).withColumns(
+        {f"{pair}_only": F.lit(None).cast("long") for pair in ("edit", "next")}
+    )
     likeness = {}
     for pair, size in (("edit", "n_edited"), ("next", "n_next")):
         only_own = F.when(F.col(f"{pair}.ok"), F.col(f"{pair}.a")).otherwise(F.col(f"{pair}_only"))
         both = F.col("n_own") + F.col(size)
         common = (F.col("n_own") - only_own) * F.lit(2.0)
         likeness[pair] = F.when(both == 0, 1.0).otherwise(common / F.nullif(both, F.lit(0)))
-    return first.join(again, "row", "left").select(
+    return whole.unionByName(again).select(
         F.col("id").alias(id_col),
         "n_chars",
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
+        F.base64("fingerprint").alias("fingerprint"),
+        F.base64("edited_fingerprint").alias("edited_fingerprint"),
         likeness["edit"].alias("near_edited"),
         likeness["next"].alias("near_next"),
     )
@@ -331,11 +372,12 @@ def _larger_sketches(first: DataFrame) -> DataFrame:
     while True:
         level += 1
         shares = F.greatest(F.lit(2), F.least(F.lit(MOST_SHARES), F.ceil((F.size("a") + F.size("b")) / room)))
-        mine = f"pmod(xxhash64(k, {level}), shares) = share"
+        share = f"pmod(xxhash64(k, {level}), shares)"
+        sides = (_dealt(side, share, "shares") for side in "ab")
         split = (
             failed.withColumn("shares", shares.cast("int"))
-            .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
-            .select("row", "pair", F.expr(f"filter(a, k -> {mine})").alias("a"), F.expr(f"filter(b, k -> {mine})").alias("b"))
+            .select("row", "pair", F.expr(f"inline(arrays_zip({', '.join(sides)}))").alias("a", "b"))
+            .filter("size(a) + size(b) > 0")
         )
         difference = subtract_sql(cells_sql("a", level), cells_sql("b", level))
         few = F.size("a") + F.size("b") <= MOST_TRIED

@@ -119,6 +119,20 @@ def test_fingerprints_of_one_row_null_ids_repeated_rows_and_nothing(docs):
     assert sketch.compare_with_edit(docs([])).collect() == []
 
 
+def test_a_large_pair_is_split_at_once_into_shares_that_peel(docs, monkeypatch):
+    tables = []
+    kept = sketch.staged
+    monkeypatch.setattr(sketch, "staged", lambda df, *sort: tables.append(kept(df, *sort)) or tables[-1])
+    lines = [f"line {i}" for i in range(1200)]
+    texts = ["\n".join(lines[:600]), "\n".join(lines[600:]), "alone"]
+    found = {r.doc_id: r for r in sketch.compare_with_edit(docs(list(enumerate(texts)))).collect()}
+    assert [found[i].near_next for i in range(3)] == [0.0, 0.0, 0.0]
+    _, first, tried = tables[:3]
+    # Fingerprints are staged and joined as bytes.
+    assert dict(first.dtypes)["fingerprint"] == "binary"
+    assert tried.filter("left").count() < tried.count() / 2
+
+
 def test_likeness_follows_the_share_of_text_that_is_kept(docs):
     pick = random.Random(5)
 
